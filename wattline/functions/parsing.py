@@ -57,7 +57,9 @@ def wall_clock(value: Column, formats: Iterable[str] = ()) -> Column:
     candidates = [text.try_cast("timestamp_ntz")]
     candidates += [_as_iso_text(text, f).try_cast("timestamp_ntz") for f in formats]
     parsed = F.coalesce(*candidates)
-    return F.when(parsed.between(F.lit(EARLIEST), F.lit(LATEST)), parsed)
+    # Limits as text: a Python datetime would become a zoned literal.
+    first, last = (F.lit(limit).cast("timestamp_ntz") for limit in (EARLIEST, LATEST))
+    return F.when(parsed.between(first, last), parsed)
 
 
 def _as_iso_text(text: Column, fmt: str) -> Column:

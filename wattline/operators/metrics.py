@@ -22,6 +22,7 @@ from wattline.schema import (
     TIMESTAMP,
     TOTALS,
     ContractError,
+    quoted,
 )
 
 DAILY_MAXIMA = {c: f"max_{c}" for c in GRID_MEASURES}
@@ -71,11 +72,11 @@ def daily_peak_hours(cleaned: DataFrame, rollup: DataFrame | None = None) -> Dat
 def add_hour_totals(cleaned: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
     """Join the totals of each row's hour of day."""
     rollup = hourly_rollup(cleaned) if rollup is None else rollup
-    kept = [c for c in cleaned.columns if c != HOUR]
+    kept = [quoted(c) for c in cleaned.columns if c != HOUR]
     return (
         cleaned.withColumn(HOUR, hour_of_day(F.col(TIMESTAMP)))
         .join(F.broadcast(totals_by_hour(rollup)), HOUR, "left")
-        .select(*[cleaned[c] for c in kept], *TOTALS.values())
+        .select(*kept, *TOTALS.values())
     )
 
 

@@ -33,9 +33,9 @@ MISSING_TOKENS = (
 
 # A nanosecond clock in 64 bits reaches this far; timestamps outside it count as missing.
 # The range also bounds the number of calendar days in any cleaned table.
-EARLIEST = dt.datetime(1677, 9, 21, 0, 12, 43, 145225)
-LATEST = dt.datetime(2262, 4, 11, 23, 47, 16, 854775)
-MAX_DAYS = (LATEST.date() - EARLIEST.date()).days + 1
+EARLIEST = "1677-09-21 00:12:43.145225"
+LATEST = "2262-04-11 23:47:16.854775"
+MAX_DAYS = (dt.datetime.fromisoformat(LATEST) - dt.datetime.fromisoformat(EARLIEST)).days + 2
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in REQUIRED_COLUMNS])
 

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from wattline.functions import missing_to_null
 from wattline.schema import RAW_SCHEMA, READ_ORDER, quoted
@@ -29,15 +30,24 @@ def header_columns(spark: SparkSession, path: str | list[str], sep: str = ";") -
     return spark.read.options(**text_options(sep)).csv(path).columns
 
 
-def read_order() -> Column:
-    """Position of a row in its source: file, split, line. Valid directly on a file scan."""
+def read_order(streaming: bool = False) -> Column:
+    """Position of a row in its source: file, split, line. Valid directly on a file scan.
+
+    A stream cannot number its lines; ``number_lines`` does so for each of its batches.
+    """
     return F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
+        (F.lit(0).cast("bigint") if streaming else F.monotonically_increasing_id()).alias("line"),
     )
 
 
+def number_lines(batch: DataFrame) -> DataFrame:
+    """Complete the order column of a streamed batch, whose partitions are still file splits."""
+    numbered = F.col(READ_ORDER).withField("line", F.monotonically_increasing_id())
+    return batch.withColumn(READ_ORDER, numbered) if READ_ORDER in batch.columns else batch
+
+
 def load_readings(
     spark: SparkSession,
     path: str | list[str],
@@ -112,7 +122,7 @@ def _scan(reader, path, columns: list[str], sep: str) -> DataFrame:
             columnPruning=False,
         )
         .csv(path)
-        .withColumn(READ_ORDER, read_order())
+        .withColumn(READ_ORDER, read_order(isinstance(reader, DataStreamReader)))
     )
 
 
@@ -131,11 +141,13 @@ def _too_long(columns: list[str], sep: str) -> Column:
     """A malformed line with more separators outside quotes than the header has.
 
     The reader marks short lines as malformed too, so the separators decide. Only marked
-    lines are looked at.
+    lines are looked at. Naming a data column next to the line is needed because the reader
+    refuses to give the malformed line alone, as when only rows are counted.
     """
-    unquoted = F.regexp_replace(_LINE, f'(^|{re.escape(sep)})"(?:[^"]|"")*"', "$1")
+    line = F.coalesce(F.col(_LINE), F.col(quoted(columns[0])))
+    unquoted = F.regexp_replace(line, f'(^|{re.escape(sep)})"(?:[^"]|"")*"', "$1")
     separators = (F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep)))) / len(sep)
-    return F.col(_LINE).isNotNull() & F.coalesce(separators >= len(columns), F.lit(False))
+    return F.col(_LINE).isNotNull() & (separators >= len(columns))
 
 
 def _no_order() -> Column:

@@ -1 +1,27 @@
-"""Streaming forms."""
+"""Streaming forms of the recurring refresh."""
+
+from wattline.streaming.continuous import (
+    closed_daily_maxima,
+    first_within_watermark,
+    running_hour_totals,
+    typed_rows,
+)
+from wattline.streaming.ingest import (
+    ingest,
+    read_clean,
+    read_enriched,
+    read_rollup,
+    write_batch,
+)
+
+__all__ = [
+    "closed_daily_maxima",
+    "first_within_watermark",
+    "ingest",
+    "read_clean",
+    "read_enriched",
+    "read_rollup",
+    "running_hour_totals",
+    "typed_rows",
+    "write_batch",
+]

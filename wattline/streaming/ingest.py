@@ -1,0 +1,179 @@
+"""Recurring refresh: new files are cleaned into a tier that always equals one batch run.
+
+A tier is a folder::
+
+    clean/reading_day=D/batch_id=N/   rows accepted by micro-batch N
+    rollup/reading_day=D/             sums and maxima per hour of that day
+    checkpoint/                       progress of the stream
+
+A micro-batch replaces only partitions with its own number, looks only at lower numbers, and
+recomputes the rollup of the days it touches, so a batch that runs again after a failure
+leaves the tier as if it had run once. Work and directory listing per batch follow the days
+the batch touches, not the age of the tier. Totals over all history change with every batch;
+they are not written onto rows but joined from the rollup when the tier is read.
+
+The checkpoint belongs to the tier: start a new stream with a new tier.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Iterable, Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from wattline.functions import calendar_day
+from wattline.operators import (
+    add_hour_metrics,
+    clean_readings,
+    drop_missing_timestamps,
+    drop_sentinel_rows,
+    hourly_rollup,
+    parse_timestamps,
+    require_columns,
+)
+from wattline.schema import CLEAN_SCHEMA, DAY, READ_ORDER, TIMESTAMP
+from wattline.sources.delimited import is_missing_path, number_lines
+
+BATCH = "batch_id"
+
+# Up to this many days of a batch are named one by one; beyond it the tier is read by the
+# span from the first to the last day.
+_NAMED_DAYS = 366
+
+
+def ingest(
+    stream: DataFrame,
+    tier: str,
+    *,
+    order_by: Sequence[str] = (READ_ORDER,),
+    formats: Iterable[str] = (),
+    every: str | None = "5 minutes",
+) -> StreamingQuery:
+    """Start cleaning a stream of raw readings into a tier.
+
+    ``every`` is the refresh period; ``None`` processes what is there and stops. Keep-first
+    holds within a batch by ``order_by`` and across batches by arrival.
+    """
+    formats = tuple(formats)
+
+    def accept(batch: DataFrame, batch_id: int) -> None:
+        write_batch(number_lines(batch), tier, batch_id, order_by, formats)
+
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return (
+        stream.writeStream.foreachBatch(accept)
+        .option("checkpointLocation", f"{tier}/checkpoint")
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def write_batch(
+    raw: DataFrame,
+    tier: str,
+    batch_id: int,
+    order_by: Sequence[str] = (READ_ORDER,),
+    formats: Iterable[str] = (),
+) -> None:
+    """Add one batch of raw readings to a tier; safe to repeat with the same number."""
+    spark = raw.sparkSession
+    touched = _Days(_touched_days(raw, formats))
+    if touched.none:
+        return
+    rows = clean_readings(raw, order_by, formats).withColumn(DAY, calendar_day(F.col(TIMESTAMP)))
+    stored = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
+
+    earlier = touched.read(spark, f"{tier}/clean", stored)
+    if earlier is not None:
+        seen = earlier.where(F.col(BATCH) < batch_id).select(DAY, TIMESTAMP)
+        rows = rows.join(seen, [DAY, TIMESTAMP], "left_anti")
+    # Rebalancing brings the rows of a day together, so a day gets few files, and splits a
+    # day that is large.
+    accepted = rows.withColumn(BATCH, F.lit(batch_id)).hint("rebalance", DAY)
+    _replace(accepted, f"{tier}/clean", DAY, BATCH)
+
+    current = touched.read(spark, f"{tier}/clean", stored).where(F.col(BATCH) <= batch_id)
+    _replace(hourly_rollup(current), f"{tier}/rollup", DAY)
+
+
+def read_clean(
+    spark: SparkSession, tier: str, schema: T.StructType = CLEAN_SCHEMA
+) -> DataFrame:
+    """The cleaned rows of a tier. ``schema`` names pass-through columns where there are any."""
+    stored = T.StructType(
+        [*schema.fields, T.StructField(DAY, T.DateType()), T.StructField(BATCH, T.LongType())]
+    )
+    return _read_or_empty(spark, f"{tier}/clean", stored).select(*schema.names)
+
+
+def read_rollup(spark: SparkSession, tier: str) -> DataFrame:
+    """Sums and maxima per day and hour, up to date with the cleaned rows."""
+    schema = hourly_rollup(spark.createDataFrame([], CLEAN_SCHEMA)).schema
+    return _read_or_empty(spark, f"{tier}/rollup", schema)
+
+
+def read_enriched(
+    spark: SparkSession, tier: str, schema: T.StructType = CLEAN_SCHEMA
+) -> DataFrame:
+    """The tier with totals and peak flags as of now, without a shuffle of its rows."""
+    return add_hour_metrics(read_clean(spark, tier, schema), read_rollup(spark, tier))
+
+
+class _Days:
+    """The days of one batch and how to read just these days of a table."""
+
+    def __init__(self, days: DataFrame):
+        self.named: list[dt.date] = [r[DAY] for r in days.limit(_NAMED_DAYS + 1).collect()]
+        self.none = not self.named
+        if len(self.named) > _NAMED_DAYS:
+            self.named = []
+            self.first, self.last = days.agg(F.min(DAY), F.max(DAY)).first()
+
+    def read(self, spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+        if self.named:
+            # Only the folders of these days are listed.
+            names = ",".join(d.isoformat() for d in sorted(self.named))
+            return _read(spark, path, f"{path}/{DAY}={{{names}}}", schema)
+        table = _read(spark, path, path, schema)
+        return None if table is None else table.where(F.col(DAY).between(self.first, self.last))
+
+
+def _touched_days(raw: DataFrame, formats: Iterable[str]) -> DataFrame:
+    """The distinct days of a batch, by partial aggregation and before de-duplication."""
+    return (
+        raw.transform(require_columns)
+        .transform(drop_sentinel_rows)
+        .transform(parse_timestamps, formats)
+        .transform(drop_missing_timestamps)
+        .select(calendar_day(F.col(TIMESTAMP)).alias(DAY))
+        .distinct()
+    )
+
+
+def _replace(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Write partitions, replacing exactly those that occur in the rows."""
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions)
+        .parquet(path)
+    )
+
+
+def _read(spark: SparkSession, base: str, path: str, schema: T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).option("basePath", base).parquet(path)
+    except AnalysisException as error:
+        if is_missing_path(error):
+            return None
+        raise
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    table = _read(spark, path, path, schema)
+    return spark.createDataFrame([], schema) if table is None else table
