@@ -149,7 +149,8 @@ NUMBERS = {
     "NaN": None, "1d": None, "1f": None, "5L": None, "0x1p3": None, "٣": None, "inf": None,
     "Infinity": None, "1e20": None, ".": None, "+": None, "--5": None, "1e400": None,
     "9007199254740993": 9007199254740993, "9223372036854775807": 9223372036854775807,
-    "9223372036854775808": None, "-9223372036854775808": -9223372036854775808,
+    "9223372036854775808": None, "9.223372036854775808e18": None, "-9.3e18": None, "\x005": None,
+    "-9223372036854775808": -9223372036854775808,
 }
 
 

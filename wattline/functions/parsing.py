@@ -13,8 +13,6 @@ from wattline.schema import EARLIEST, LATEST, MISSING_TOKENS
 # Decimal text only. It keeps out what the JVM's double parser also takes: 1d, 1f, 0x1p3, NaN.
 DECIMAL_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-_LONG_MAX = 2**63 - 1
-
 _FORMAT_FIELDS = {"yyyy": 4, "MM": 2, "dd": 2, "HH": 2, "mm": 2, "ss": 2}
 
 
@@ -26,14 +24,16 @@ def missing_to_null(text: Column) -> Column:
 def number_or_null(value: Column) -> Column:
     """Parse decimal text to BIGINT, cut toward zero; NULL where it is not a number in range.
 
-    Whole numbers parse directly and stay exact over the full 64 bits. Only other text pays
-    for the pattern match and the double.
+    Whole numbers parse directly and stay exact over the full 64 bits, other numbers go
+    through a double. The pattern comes first because a failing ``try_cast`` to BIGINT costs
+    an exception, some thirty times the match.
     """
     text = value.cast("string")
-    # The largest double below 2^63 is smaller than the largest BIGINT, so a double that
-    # casts to exactly that value was out of range.
-    truncated = F.nullif(text.try_cast("double").try_cast("bigint"), F.lit(_LONG_MAX))
-    return F.coalesce(text.try_cast("bigint"), F.when(text.rlike(DECIMAL_TEXT), truncated))
+    has_fraction = text.contains(".") | text.contains("e") | text.contains("E")
+    # 2^63 as a double casts to the largest BIGINT, as if it were in range; adding 1 tells.
+    truncated = F.try_add(text.try_cast("double").try_cast("bigint"), F.lit(1)) - 1
+    number = F.when(has_fraction, truncated).otherwise(text.try_cast("bigint"))
+    return F.when(text.rlike(DECIMAL_TEXT), number)
 
 
 def reading(value: Column) -> Column:

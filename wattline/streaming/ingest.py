@@ -88,7 +88,7 @@ def write_batch(
     rows = clean_readings(raw, order_by, formats).withColumn(DAY, calendar_day(F.col(TIMESTAMP)))
     stored = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
 
-    earlier = touched.read(spark, f"{tier}/clean", stored)
+    earlier = touched.read(spark, f"{tier}/clean", stored) if batch_id > 0 else None
     if earlier is not None:
         seen = earlier.where(F.col(BATCH) < batch_id).select(DAY, TIMESTAMP)
         rows = rows.join(seen, [DAY, TIMESTAMP], "left_anti")
