@@ -14,6 +14,7 @@ from wattline.functions import missing_to_null
 from wattline.schema import RAW_SCHEMA, READ_ORDER, quoted
 
 _LINE = "_malformed_line"
+_TOO_LONG = "_too_long"
 
 
 def text_options(sep: str) -> dict[str, object]:
@@ -77,10 +78,10 @@ def load_readings(
     if metrics is not None:
         lines = lines.observe(
             metrics,
-            F.count_if(~_too_long(columns, sep)).alias("row_count"),
-            F.count_if(_too_long(columns, sep)).alias("quarantined_count"),
+            F.count_if(~F.col(_TOO_LONG)).alias("row_count"),
+            F.count_if(_TOO_LONG).alias("quarantined_count"),
         )
-    return _accepted(lines, columns, sep, strict)
+    return _accepted(lines, columns, strict)
 
 
 def stream_readings(
@@ -98,13 +99,13 @@ def stream_readings(
     ``options`` go to the file source, for example ``maxFilesPerTrigger``.
     """
     lines = _scan(spark.readStream.options(**options), path, columns, sep)
-    return _accepted(lines, columns, sep, strict)
+    return _accepted(lines, columns, strict)
 
 
 def read_quarantine(spark: SparkSession, path: str | list[str], sep: str = ";") -> DataFrame:
     """The lines ``load_readings`` leaves out, with the file each came from."""
     columns = header_columns(spark, path, sep)
-    lines = _scan(spark.read, path, columns, sep).where(_too_long(columns, sep))
+    lines = _scan(spark.read, path, columns, sep).where(_TOO_LONG)
     return lines.select(F.col(READ_ORDER)["file"].alias("file"), F.col(_LINE).alias("line"))
 
 
@@ -123,16 +124,15 @@ def _scan(reader, path, columns: list[str], sep: str) -> DataFrame:
         )
         .csv(path)
         .withColumn(READ_ORDER, read_order(isinstance(reader, DataStreamReader)))
+        .withColumn(_TOO_LONG, _too_long(columns, sep))
     )
 
 
-def _accepted(lines: DataFrame, columns: list[str], sep: str, strict: bool) -> DataFrame:
-    too_long = _too_long(columns, sep)
+def _accepted(lines: DataFrame, columns: list[str], strict: bool) -> DataFrame:
+    keep = ~F.col(_TOO_LONG)
     if strict:
         message = F.concat(F.lit("too many fields: "), F.col(_LINE))
-        keep = F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    else:
-        keep = ~too_long
+        keep = F.when(keep, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     values = [missing_to_null(F.col(quoted(c))).alias(c) for c in columns]
     return lines.where(keep).select(*values, READ_ORDER)
 
