@@ -67,7 +67,7 @@ def test_batch_without_usable_rows_and_empty_tier(spark, tmp_path):
 
 
 def test_batch_over_very_many_days(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("wattline.streaming.ingest._NAMED_DAYS", 5)
+    monkeypatch.setattr("wattline.streaming.tier._NAMED_DAYS", 5)
     tier = str(tmp_path / "tier")
     start = dt.date(2020, 1, 1)
     rows = [

@@ -21,6 +21,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--strict", action="store_true", help="fail on a line with too many fields")
     parser.add_argument("--unordered", action="store_true", help="do not sort the target by time")
     parser.add_argument("--single-file", action="store_true", help="for small results")
+    parser.add_argument("--work", help="shared folder for intermediate tables, replaced by each run")
+    parser.add_argument("--input-bytes", type=int, help="size of the source; sets split and shuffle sizes")
     parser.add_argument("--follow", action="store_true", help="keep a tier up to date as files arrive")
     parser.add_argument("--every", default="5 minutes", help="refresh period of --follow")
     parser.add_argument("--once", action="store_true", help="with --follow: process new files, then stop")
@@ -29,7 +31,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 
 def main(arguments: list[str] | None = None) -> None:
     options = parse(arguments)
-    spark = build_session()
+    spark = build_session(input_bytes=options.input_bytes)
     if options.follow:
         columns = header_columns(spark, options.source, options.sep)
         stream = stream_readings(spark, options.source, columns, options.sep, strict=options.strict)
@@ -47,6 +49,7 @@ def main(arguments: list[str] | None = None) -> None:
         strict=options.strict,
         ordered=not options.unordered,
         single_file=options.single_file,
+        work=options.work,
     )
     print(report)
 

@@ -24,14 +24,15 @@ class JobReport:
     exported_columns: int
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, work: str | None = None) -> DataFrame:
     """Write a table to the shared work folder and read it back.
 
     The result is columnar, so later steps read only the columns they need, and it does not
-    depend on the executors that made it.
+    depend on the executors that made it. Without ``work`` every call takes a new folder;
+    a recurring job names one and replaces its own intermediate tables.
     """
-    path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    path = f"{work}/{purpose}" if work else work_folder(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -39,14 +40,15 @@ def enriched_readings(
     raw: DataFrame,
     order_by: Sequence[str] = (READ_ORDER,),
     formats: Iterable[str] = (),
+    work: str | None = None,
 ) -> DataFrame:
     """Clean and enrich with one shuffle of the rows.
 
     The cleaned table is used twice, for the rollup and for the rows, and so is the rollup.
     Both are written once instead of computing the de-duplication for every use.
     """
-    cleaned = materialize(clean_readings(raw, order_by, formats), "cleaned")
-    rollup = materialize(hourly_rollup(cleaned), "rollup")
+    cleaned = materialize(clean_readings(raw, order_by, formats), "cleaned", work)
+    rollup = materialize(hourly_rollup(cleaned), "rollup", work)
     return add_hour_metrics(cleaned, rollup)
 
 
@@ -64,11 +66,12 @@ def run(
     ordered: bool = True,
     single_file: bool = False,
     mode: str = "overwrite",
+    work: str | None = None,
 ) -> JobReport:
     """Read raw readings, write enriched readings, report the counts of both ends."""
     loaded, exported = Observation("loaded"), Observation("exported")
     raw = load_readings(spark, source, sep, missing=missing, strict=strict, metrics=loaded)
-    enriched = enriched_readings(raw, formats=formats)
+    enriched = enriched_readings(raw, formats=formats, work=work)
     written = export_readings(
         enriched,
         target,

@@ -18,10 +18,32 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "wattline", **settings: str) -> SparkSession:
+_MB = 1024**2
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Split and shuffle sizes for an input of a known size.
+
+    The driver keeps an entry per pair of map task and shuffle partition, so both numbers
+    are held down by larger pieces as the input grows: 100 TB gives 100,000 splits of 1 GB
+    and 50,000 partitions. Larger splits also drop more duplicates before the shuffle. AQE
+    merges partitions that turn out small.
+    """
+    split = min(1024 * _MB, max(128 * _MB, input_bytes // 100_000))
+    partitions = min(50_000, max(200, input_bytes // (256 * _MB)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+
+
+def build_session(
+    app_name: str = "wattline", input_bytes: int | None = None, **settings: str
+) -> SparkSession:
     """A session with the recommended settings; the master comes from the launcher."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SETTINGS, **settings}.items():
+    sizes = settings_for(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sizes, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -6,7 +6,7 @@ from wattline.streaming.continuous import (
     running_hour_totals,
     typed_rows,
 )
-from wattline.streaming.ingest import (
+from wattline.streaming.tier import (
     ingest,
     read_clean,
     read_enriched,

@@ -82,23 +82,27 @@ def write_batch(
 ) -> None:
     """Add one batch of raw readings to a tier; safe to repeat with the same number."""
     spark = raw.sparkSession
-    touched = _Days(_touched_days(raw, formats))
-    if touched.none:
-        return
+    clean, rollup = f"{tier}/clean", f"{tier}/rollup"
     rows = clean_readings(raw, order_by, formats).withColumn(DAY, calendar_day(F.col(TIMESTAMP)))
     stored = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
-
-    earlier = touched.read(spark, f"{tier}/clean", stored) if batch_id > 0 else None
-    if earlier is not None:
-        seen = earlier.where(F.col(BATCH) < batch_id).select(DAY, TIMESTAMP)
-        rows = rows.join(seen, [DAY, TIMESTAMP], "left_anti")
+    if batch_id > 0:
+        touched = _Days(_days_of(raw, formats))
+        if touched.none:
+            return
+        earlier = touched.read(spark, clean, stored)
+        if earlier is not None:
+            seen = earlier.where(F.col(BATCH) < batch_id).select(DAY, TIMESTAMP)
+            rows = rows.join(seen, [DAY, TIMESTAMP], "left_anti")
     # Rebalancing brings the rows of a day together, so a day gets few files, and splits a
     # day that is large.
-    accepted = rows.withColumn(BATCH, F.lit(batch_id)).hint("rebalance", DAY)
-    _replace(accepted, f"{tier}/clean", DAY, BATCH)
-
-    current = touched.read(spark, f"{tier}/clean", stored).where(F.col(BATCH) <= batch_id)
-    _replace(hourly_rollup(current), f"{tier}/rollup", DAY)
+    _replace(rows.withColumn(BATCH, F.lit(batch_id)).hint("rebalance", DAY), clean, DAY, BATCH)
+    if batch_id == 0:
+        # The first batch may be the whole history. Its days are read off the partitions.
+        touched = _Days(_read(spark, clean, clean, stored).select(DAY).distinct())
+        if touched.none:
+            return
+    current = touched.read(spark, clean, stored).where(F.col(BATCH) <= batch_id)
+    _replace(hourly_rollup(current), rollup, DAY)
 
 
 def read_clean(
@@ -143,7 +147,7 @@ class _Days:
         return None if table is None else table.where(F.col(DAY).between(self.first, self.last))
 
 
-def _touched_days(raw: DataFrame, formats: Iterable[str]) -> DataFrame:
+def _days_of(raw: DataFrame, formats: Iterable[str]) -> DataFrame:
     """The distinct days of a batch, by partial aggregation and before de-duplication."""
     return (
         raw.transform(require_columns)
