@@ -4,7 +4,7 @@ import pytest
 
 from wattline.operators import clean_readings
 from wattline.plans import materialize, run
-from wattline.session import settings_for, work_folder
+from wattline.session import settings_for, stateful_settings, work_folder
 from wattline.sources import load_readings
 
 HEADER = "timestamp;grid_purchase;grid_feedin;direct_consumption\n"
@@ -59,3 +59,15 @@ def test_named_columns_replace_reading_the_header(spark, tmp_path):
     assert materialize(clean_readings(load_readings(spark, str(path), columns=columns)), "t").count() == 1
     with pytest.raises(Exception, match="(?i)header"):
         load_readings(spark, str(path), columns=columns[::-1]).collect()
+
+
+def test_stateful_settings_are_put_back(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        with stateful_settings(spark):
+            assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Kolkata"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

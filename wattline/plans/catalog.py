@@ -7,7 +7,6 @@ raw readings with ``event_id`` as their sequence.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +48,7 @@ from wattline.schema import (
     PEAK_FLAGS,
     TIMESTAMP,
 )
-from wattline.session import work_folder
+from wattline.session import stateful_settings, work_folder
 from wattline.sources import (
     as_readings,
     as_text,
@@ -199,11 +198,12 @@ def non_null_consumption(spark, folder):
 
 
 def head_rows(spark, folder):
-    return first_rows(raw_readings(spark, folder), 10, ORDER)
+    return as_readings(first_rows(read_events(spark, folder), 10, ORDER))
 
 
 def tail_rows(spark, folder):
-    return last_rows(raw_readings(spark, folder), 10, ORDER)
+    """The rows are picked first, so only ten of them are turned into text."""
+    return as_readings(last_rows(read_events(spark, folder), 10, ORDER))
 
 
 # Files
@@ -268,16 +268,6 @@ def _streamed_tier(spark, folder) -> str:
     return tier
 
 
-@contextmanager
-def _utc(spark: SparkSession) -> Iterator[None]:
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
-
-
 def stream_clean_readings(spark, folder):
     return read_clean(spark, _streamed_tier(spark, folder), CLEAN_WITH_ID)
 
@@ -289,16 +279,17 @@ def stream_metrics(spark, folder):
 def stream_hour_totals(spark, folder):
     """Totals over all typed rows, duplicates included."""
     out, checkpoint = work_folder(spark, "totals"), work_folder(spark, "checkpoint")
-    for stream in _arrivals(raw_readings(spark, folder), work_folder(spark, "feed")):
-        (
-            running_hour_totals(typed_rows(stream))
-            .writeStream.outputMode("complete")
-            .foreachBatch(lambda totals, _: totals.write.mode("overwrite").parquet(out))
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-            .awaitTermination()
-        )
+    with stateful_settings(spark):
+        for stream in _arrivals(raw_readings(spark, folder), work_folder(spark, "feed")):
+            (
+                running_hour_totals(typed_rows(stream))
+                .writeStream.outputMode("complete")
+                .foreachBatch(lambda totals, _: totals.write.mode("overwrite").parquet(out))
+                .option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True)
+                .start()
+                .awaitTermination()
+            )
     return spark.read.parquet(out)
 
 
@@ -306,7 +297,7 @@ def stream_daily_maxima(spark, folder):
     """Maxima of the days the watermark has closed; a day still open is not given out."""
     out, checkpoint = work_folder(spark, "maxima"), work_folder(spark, "checkpoint")
     raw = as_readings(read_events(spark, folder), to_the_minute=False)
-    with _utc(spark):
+    with stateful_settings(spark):
         for stream in _arrivals(raw, work_folder(spark, "feed")):
             unique = first_within_watermark(typed_rows(stream), WATERMARK, ORDER)
             (

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +50,27 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def stateful_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings under which to start a stateful stream; a started stream keeps them.
+
+    The zone is UTC, as watermarks need. State is cut into as many partitions as there are
+    cores: every partition commits a store per batch, and the number is fixed for good.
+    """
+    wanted = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the folder that driver and executors share.
 
