@@ -14,6 +14,7 @@ from wattline.plans import materialize
 from wattline.plans.catalog import QUERIES
 from wattline.sources import events_as_readings
 from wattline.streaming import first_within_watermark, typed_rows
+from wattline.streaming.tier import unseen
 
 
 def plan(df, mode="simple"):
@@ -93,6 +94,17 @@ def test_stream_deduplication_reduces_before_its_shuffle(utc):
     assert "partial_min_by" in text[text.index("Exchange"):]
 
 
+def test_looking_up_earlier_rows_does_not_shuffle_the_batch_again(spark, cleaned):
+    batch = clean_readings(events_as_readings(spark, DATA), ["event_id"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(unseen(batch, cleaned))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and len(shuffles(text)) == 2
+    assert "ReadSchema: struct<timestamp:timestamp_ntz>" in text
+
+
 def test_column_pruning_reaches_the_scan(spark):
     text = plan(QUERIES["consumption_flagged"](spark, DATA))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in text

@@ -91,8 +91,7 @@ def write_batch(
             return
         earlier = touched.read(spark, clean, stored)
         if earlier is not None:
-            seen = earlier.where(F.col(BATCH) < batch_id).select(DAY, TIMESTAMP)
-            rows = rows.join(seen, [DAY, TIMESTAMP], "left_anti")
+            rows = unseen(rows, earlier.where(F.col(BATCH) < batch_id))
     # Rebalancing brings the rows of a day together, so a day gets few files, and splits a
     # day that is large.
     _replace(rows.withColumn(BATCH, F.lit(batch_id)).hint("rebalance", DAY), clean, DAY, BATCH)
@@ -105,6 +104,15 @@ def write_batch(
     _replace(hourly_rollup(current), rollup, DAY)
 
 
+def unseen(rows: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Rows whose timestamp does not occur earlier.
+
+    The key is the timestamp alone, by which cleaned rows are already partitioned; with the
+    day in it they would be shuffled again.
+    """
+    return rows.join(earlier.select(TIMESTAMP), TIMESTAMP, "left_anti")
+
+
 def read_clean(
     spark: SparkSession, tier: str, schema: T.StructType = CLEAN_SCHEMA
 ) -> DataFrame:
