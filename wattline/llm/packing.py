@@ -14,19 +14,19 @@ from pyspark.sql import functions as F
 from wattline.llm.common import materialize, ranked, running_totals
 
 PIECES = "doc_id bigint, copy bigint, doc_tokens bigint, start bigint, length bigint, ids_crc32 bigint"
-_ENCODERS: dict = {}
 
 
 def byte_bpe(path: str):
-    """An encoder over the vocabulary of a byte-level BPE file; one per worker and path.
+    """An encoder over the vocabulary of a byte-level BPE file; a worker keeps it between tasks.
 
     It gives the ids of the ``tokenizers`` library for that file (tests compare them) at about
     four times its speed. Strings of special tokens in a text are ordinary text.
     """
-    if path not in _ENCODERS:
-        import public_tokenizers
-        import tiktoken
+    import public_tokenizers
+    import tiktoken
+    from tiktoken.registry import ENCODINGS
 
+    if path not in ENCODINGS:
         with open(path, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -36,10 +36,10 @@ def byte_bpe(path: str):
         for token, rank in vocabulary.items():
             if all(c in letters for c in token) and not token.startswith("<|"):
                 ranks[bytes(letters[c] for c in token)] = rank
-        _ENCODERS[path] = tiktoken.Encoding(
+        ENCODINGS[path] = tiktoken.Encoding(
             "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-    return _ENCODERS[path]
+    return ENCODINGS[path]
 
 
 def default_tokenizer() -> str:

@@ -7,6 +7,7 @@ from wattline.llm.exact_dedup import EXACT_SQL, exact_duplicates
 from wattline.llm.html import extract_main_text
 from wattline.llm.mixing import MIX_SQL, mix_plan
 from wattline.llm.packing import pack_documents
+from wattline.llm.toxicity import score_toxicity
 from wattline.llm.warc import WARC_SQL, archived_pages, write_warc
 from wattline.session import work_folder
 
@@ -15,6 +16,10 @@ def op1_html_extraction(spark, folder):
     return extract_main_text(read_table(spark, folder, "pages"))
 
 
+def op2_toxicity(spark, folder):
+    return score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 def op6_exact_dedup(spark, folder):
     return exact_duplicates(spark, f"{folder}/documents.parquet")
 
@@ -35,6 +40,7 @@ def op10_packing(spark, folder):
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_toxicity": op2_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
     "op8_warc": op8_warc,
