@@ -13,10 +13,19 @@ from wattline.plans.job import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+#: Keys that a join asks for go ahead of it as a Bloom filter of at most 8 MB, so that rows whose
+#: key is not asked for are not shuffled. What the filter lets through by mistake, the join drops.
+_PREFILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10GB",
+}
+
 __all__ = [
     "SPACE",
     "WORD",
     "materialize",
+    "matching",
     "ranked",
     "read_table",
     "running_totals",
@@ -28,6 +37,20 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def matching(rows: DataFrame, wanted: DataFrame, key: str, purpose: str) -> DataFrame:
+    """The inner join of ``rows`` with the few ``wanted`` keys, written as a table."""
+    spark = rows.sparkSession
+    wanted = materialize(wanted.withColumn("_asked", F.lit(1)), f"{purpose}-keys")
+    before = {name: spark.conf.get(name) for name in _PREFILTER}
+    try:
+        for name, value in _PREFILTER.items():
+            spark.conf.set(name, value)
+        return materialize(rows.join(wanted.where("_asked > 0").drop("_asked"), key), purpose)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text as BIGINT; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

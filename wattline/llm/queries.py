@@ -5,8 +5,10 @@ from __future__ import annotations
 from wattline.llm.common import read_table
 from wattline.llm.exact_dedup import EXACT_SQL, exact_duplicates
 from wattline.llm.html import extract_main_text
+from wattline.llm.line_dedup import kept_lines
 from wattline.llm.mixing import MIX_SQL, mix_plan
 from wattline.llm.packing import pack_documents
+from wattline.llm.topk import TOPK_SQL, top_k
 from wattline.llm.toxicity import score_toxicity
 from wattline.llm.warc import WARC_SQL, archived_pages, write_warc
 from wattline.session import work_folder
@@ -20,6 +22,14 @@ def op2_toxicity(spark, folder):
     return score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+def op4_topk(spark, folder):
+    return top_k(read_table(spark, folder, "embeddings"))
+
+
+def op5_line_dedup(spark, folder):
+    return kept_lines(read_table(spark, folder, "documents")).drop("doc_key")
+
+
 def op6_exact_dedup(spark, folder):
     return exact_duplicates(spark, f"{folder}/documents.parquet")
 
@@ -41,6 +51,8 @@ def op10_packing(spark, folder):
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
+    "op4_topk": op4_topk,
+    "op5_line_dedup": op5_line_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
     "op8_warc": op8_warc,
@@ -48,6 +60,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_topk": TOPK_SQL,
     "op6_exact_dedup": EXACT_SQL,
     "op7_mixing": MIX_SQL,
     "op8_warc": WARC_SQL,
