@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -11,9 +13,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattline.llm.common import materialize
+
 END = b"\r\n\r\n"
 VERSION = b"WARC/1."
 GZIP = b"\x1f\x8b\x08"
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORDS = (
     "file string, offset bigint, size bigint, gap_reason string, record_id string,"
     " record_type string, target_uri string, refers_to string, payload_digest string,"
@@ -21,16 +26,42 @@ RECORDS = (
 )
 
 
-def base32_sha1(payload: Column) -> Column:
-    """SHA-1 of a binary column in upper-case base 32, as archives write it."""
-    digest = F.sha1(payload)
-    digits = [
-        F.lpad(F.conv(F.substring(digest, start, 10), 16, 32), 8, "0") for start in (1, 11, 21, 31)
+def base32_sha1(content: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(content).digest()).decode()
+
+
+def record_bytes(
+    kind: str, name: str, uri: str, payload: bytes, date: str, refers_to: str | None = None
+) -> bytes:
+    """One record. A revisit has the HTTP header of the page it stands for, but no payload."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}"
+    block = http.encode() + END + (b"" if kind == "revisit" else payload)
+    lines = [
+        "WARC/1.1",
+        f"WARC-Type: {kind}",
+        f"WARC-Record-ID: {name}",
+        f"WARC-Date: {date}",
+        f"WARC-Target-URI: {uri}",
+        f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}",
+        f"WARC-Block-Digest: sha1:{base32_sha1(block)}",
+        "Content-Type: application/http; msgtype=response",
+        f"Content-Length: {len(block)}",
     ]
-    # conv counts in 0-9A-V, base 32 of RFC 4648 in A-Z2-7.
-    return F.translate(
-        F.concat(*digits), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    )
+    if refers_to:
+        lines[4:4] = [f"WARC-Refers-To: {refers_to}", f"WARC-Profile: {REVISIT_PROFILE}"]
+    return "\r\n".join(lines).encode("utf-8", "replace") + END + block + END
+
+
+def _file_system(uri: str):
+    """The file system of a folder, and the folder's path on it."""
+    from pyarrow import fs
+
+    scheme, colon, rest = uri.partition(":")
+    if not colon:
+        return fs.LocalFileSystem(), uri
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(("s3" if scheme == "s3a" else scheme) + colon + rest)
 
 
 def write_warc(
@@ -38,14 +69,16 @@ def write_warc(
     path: str,
     least_bytes: int = 0,
     date: str = "2024-01-01T00:00:00Z",
-    records_per_file: int = 20_000,
+    file_bytes: int = 32 * 1024**2,
 ) -> None:
     """Writes a record for each row of ``pages`` (page_id, url, html) into archives below ``path``.
 
     Of equal payloads of ``least_bytes`` or more, the one with the smallest page_id is a response,
-    the others revisit it without a payload; shorter payloads are all responses. Records carry
-    payload and block digests. The text sink writes one record after another with the separator
-    WARC asks for, so the files are plain archives, on any file system Spark knows.
+    the others revisit it without a payload; shorter payloads are all responses. Each record is a
+    gzip member of its own, with payload and block digests; a file ends after ``file_bytes``.
+    Tasks write files under names of their own; only those that Spark has committed get a final
+    name, so a repeated or lost task leaves no record twice. ``path`` must be a folder that all
+    machines share.
 
     A null html is an empty payload, a null url an empty URI, a null page_id comes after all
     others and is written as ``null``. Repeated rows are records of their own; of equal payloads
@@ -54,62 +87,67 @@ def write_warc(
     rows = pages.select(
         F.col("page_id").alias("_page"),
         F.coalesce("url", F.lit("")).alias("_url"),
-        F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("_payload"),
+        F.coalesce("html", F.lit("")).alias("_html"),
         F.monotonically_increasing_id().alias("_copy"),
     )
-    rows = rows.withColumns(
-        {"_sha256": F.sha2("_payload", 256), "_bytes": F.octet_length("_payload").cast("bigint")}
-    )
+    rows = rows.withColumn("_sha256", F.sha2("_html", 256))
     # min over a struct combines before the shuffle; a null id sorts behind the others.
     place = F.struct(F.col("_page").isNull().alias("no_page"), "_page", "_copy")
     first = (
-        rows.where(F.col("_bytes") >= least_bytes)
+        rows.where(F.octet_length("_html") >= least_bytes)
         .groupBy("_sha256")
         .agg(F.min(place).alias("_first"))
         .withColumnRenamed("_sha256", "_equal")
     )
     joined = rows.join(first, F.col("_sha256") == F.col("_equal"), "left")
-    revisit = F.col("_first").isNotNull() & (F.col("_first._copy") != F.col("_copy"))
+    revisit = F.coalesce(F.col("_first._copy") != F.col("_copy"), F.lit(False))
 
     def name(page: str, copy: str) -> Column:
         number = F.coalesce(F.col(page).cast("string"), F.lit("null"))
         return F.concat(F.lit("<urn:page:"), number, F.lit(":"), F.col(copy).cast("string"), F.lit(">"))
 
-    http = F.concat(
-        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
-        F.col("_bytes").cast("string"),
-        F.lit("\r\n\r\n"),
+    records = joined.select(
+        F.when(revisit, "revisit").otherwise("response").alias("kind"),
+        name("_page", "_copy").alias("name"),
+        F.regexp_replace("_url", r"[\r\n]", "").alias("uri"),
+        F.col("_html").alias("html"),
+        F.when(revisit, name("_first._page", "_first._copy")).alias("refers_to"),
     )
-    html = F.decode("_payload", "UTF-8")
-    block = F.when(revisit, http).otherwise(F.concat(http, html))
-    header = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: "),
-        F.when(revisit, "revisit").otherwise("response"),
-        F.lit("\r\nWARC-Record-ID: "),
-        name("_page", "_copy"),
-        F.lit(f"\r\nWARC-Date: {date}\r\nWARC-Target-URI: "),
-        F.regexp_replace("_url", r"[\r\n]", ""),
-        F.lit("\r\nWARC-Payload-Digest: sha1:"),
-        base32_sha1(F.col("_payload")),
-        F.lit("\r\nWARC-Block-Digest: sha1:"),
-        base32_sha1(F.encode("_block", "UTF-8")),
-        F.when(
-            revisit,
-            F.concat(
-                F.lit("\r\nWARC-Refers-To: "),
-                name("_first._page", "_first._copy"),
-                F.lit(
-                    "\r\nWARC-Profile: "
-                    "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-                ),
-            ),
-        ).otherwise(""),
-        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
-        F.octet_length("_block").cast("string"),
-        F.lit("\r\n\r\n"),
-    )
-    records = joined.withColumn("_block", block).select(F.concat(header, "_block").alias("value"))
-    records.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).text(path)
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, folder = _file_system(path)
+        system.create_dir(f"{folder}/_written")
+        task, names, sink, held = uuid.uuid4().hex, [], None, 0
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                if sink is None:
+                    names.append(f"{task}-{len(names):05d}.warc.gz")
+                    sink, held = system.open_output_stream(f"{folder}/_written/{names[-1]}", compression=None), 0
+                payload = row.html.encode("utf-8", "replace")
+                record = record_bytes(row.kind, row.name, row.uri, payload, date, row.refers_to)
+                member = gzip.compress(record, 6, mtime=0)
+                sink.write(member)
+                held += len(member)
+                if held >= file_bytes:
+                    sink.close()
+                    sink = None
+        if sink is not None:
+            sink.close()
+        yield pd.DataFrame({"file": names}, dtype="object")
+
+    def publish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, folder = _file_system(path)
+        for batch in batches:
+            for file in batch.file:
+                # A repeated task finds the file in its place already.
+                if system.get_file_info(f"{folder}/_written/{file}").is_file:
+                    system.move(f"{folder}/_written/{file}", f"{folder}/{file}")
+            yield batch
+
+    system, folder = _file_system(path)
+    system.create_dir(folder)
+    committed = materialize(records.mapInPandas(write, "file string"), "archives")
+    committed.mapInPandas(publish, "file string").write.format("noop").mode("overwrite").save()
 
 
 class Damaged(ValueError):
@@ -119,7 +157,7 @@ class Damaged(ValueError):
 def _digest_matches(stated: str | None, content: bytes) -> bool:
     if not stated or not stated.lower().startswith("sha1:"):
         return True  # nothing to hold it against
-    return stated[5:].upper() == base64.b32encode(hashlib.sha1(content).digest()).decode()
+    return stated[5:].upper() == base32_sha1(content)
 
 
 def parse_record(data: bytes, start: int) -> tuple[dict, int]:
@@ -165,25 +203,29 @@ def parse_record(data: bytes, start: int) -> tuple[dict, int]:
         if not _digest_matches(stated, record["payload"]):
             raise Damaged("payload digest differs")
         record["payload_bytes"] = len(record["payload"])
-        stated = "sha1:" + base64.b32encode(hashlib.sha1(record["payload"]).digest()).decode()
+        stated = "sha1:" + base32_sha1(record["payload"])
     record["payload_digest"] = stated.partition(":")[2].upper() if stated else None
     return record, block_end + len(END)
 
 
 def _parse_member(data: bytes, start: int) -> tuple[list[dict], int]:
     """The records of the gzip member at ``start``, all of them valid, and where it ends."""
-    inflate = zlib.decompressobj(31)
+    inflate, parts, end = zlib.decompressobj(31), [], start
     try:
-        inside = inflate.decompress(data[start:])
+        while not inflate.eof and end < len(data):
+            parts.append(inflate.decompress(data[end : end + 65536]))
+            end += 65536
     except zlib.error as error:
         raise Damaged(f"gzip: {error}") from None
     if not inflate.eof:
         raise Damaged("gzip member does not end")
+    end = min(end, len(data)) - len(inflate.unused_data)
+    inside = b"".join(parts)
     records, at = [], 0
     while at < len(inside):
         record, at = parse_record(inside, at)
         records.append(record)
-    return records, len(data) - len(inflate.unused_data)
+    return records, end
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
