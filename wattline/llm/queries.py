@@ -7,7 +7,9 @@ from wattline.llm.exact_dedup import EXACT_SQL, exact_duplicates
 from wattline.llm.html import extract_main_text
 from wattline.llm.line_dedup import kept_lines
 from wattline.llm.mixing import MIX_SQL, mix_plan
+from wattline.llm.ngram_join import similar_documents
 from wattline.llm.packing import pack_documents
+from wattline.llm.phrases import PHRASES_SQL, remove_repeated_passages
 from wattline.llm.topk import TOPK_SQL, top_k
 from wattline.llm.toxicity import score_toxicity
 from wattline.llm.warc import WARC_SQL, archived_pages, write_warc
@@ -22,6 +24,10 @@ def op2_toxicity(spark, folder):
     return score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+def op3_ngram_join(spark, folder):
+    return similar_documents(read_table(spark, folder, "documents"))
+
+
 def op4_topk(spark, folder):
     return top_k(read_table(spark, folder, "embeddings"))
 
@@ -44,6 +50,10 @@ def op8_warc(spark, folder):
     return archived_pages(spark, archives)
 
 
+def op9_substring_dedup(spark, folder):
+    return remove_repeated_passages(read_table(spark, folder, "documents"))
+
+
 def op10_packing(spark, folder):
     return pack_documents(read_table(spark, folder, "documents"))
 
@@ -51,11 +61,13 @@ def op10_packing(spark, folder):
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
+    "op3_ngram_join": op3_ngram_join,
     "op4_topk": op4_topk,
     "op5_line_dedup": op5_line_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
     "op8_warc": op8_warc,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
 }
 
@@ -64,4 +76,5 @@ ORACLES = {
     "op6_exact_dedup": EXACT_SQL,
     "op7_mixing": MIX_SQL,
     "op8_warc": WARC_SQL,
+    "op9_substring_dedup": PHRASES_SQL,
 }
