@@ -47,6 +47,8 @@ CLOSED_BY = {
     "th": frozenset({"td", "th"}),
     "option": frozenset({"option"}),
 }
+ARTICLES = frozenset({"article", "main"})
+FRAMES = ARTICLES | {"html", "body"}
 INLINE_SCOPES = frozenset("table ul ol dl select button object".split())
 
 _TOKEN = re.compile(
@@ -113,9 +115,8 @@ def _close(stack: list[Element], name: str) -> None:
             return
 
 
-def hash_subtrees(root: Element) -> list[int]:
-    """Marks every block element with the hash of its whole subtree; gives the hashes."""
-    found = []
+def hash_subtrees(root: Element) -> None:
+    """Marks every block element with the hash of its whole subtree."""
 
     def visit(element: Element) -> bytes:
         digest = hashlib.blake2b(digest_size=8)
@@ -128,11 +129,36 @@ def hash_subtrees(root: Element) -> list[int]:
         value = digest.digest()
         if element.name in BLOCKS:
             element.mark = int.from_bytes(value, "little", signed=True)
-            found.append(element.mark)
         return value
 
     visit(root)
-    return found
+
+
+def template_marks(root: Element) -> list[int]:
+    """The hashes of all subtrees that may be a site's template, each once.
+
+    Paragraphs and the like inside an article cannot, nor can the frames of a page. What lies
+    inside an element that goes by its own name or class needs no hash of its own.
+    """
+    hash_subtrees(root)
+    found = set()
+
+    def visit(element: Element, in_article: bool) -> None:
+        for part in element.parts:
+            if isinstance(part, str):
+                continue
+            if part.name in BLOCKS and not _stays(part, in_article):
+                found.add(part.mark)
+            if not is_boilerplate(part, in_article):
+                visit(part, in_article or part.name in ARTICLES)
+
+    visit(root, False)
+    return sorted(found)
+
+
+def _stays(element: Element, in_article: bool) -> bool:
+    """Whether an element is kept even if it recurs: authors repeat sentences, too."""
+    return element.name in FRAMES or (in_article and element.name in TEXT_BLOCKS)
 
 
 def _names(element: Element) -> tuple[set[str], str, bool]:
@@ -153,28 +179,22 @@ def is_boilerplate(element: Element, in_article: bool) -> bool:
     """Whether an element by its own name, role, class or id is no part of an article."""
     if element.name in NOT_TEXT or (element.name == "header" and not in_article):
         return True
-    if not element.attributes or element.name in ("html", "body", "article", "main"):
+    if not element.attributes or element.name in FRAMES:
         return False
     names, role, hidden = _names(element)
     return hidden or role in NOT_TEXT_ROLES or not NOT_TEXT_NAMES.isdisjoint(names)
 
 
 def _prune(element: Element, templates: frozenset[int], in_article: bool) -> None:
-    """Deletes site templates and boilerplate below an element.
-
-    Inside an article, paragraphs and the like stay even if they recur: authors repeat
-    sentences, templates repeat containers.
-    """
+    """Deletes site templates and boilerplate below an element."""
     kept = []
     for part in element.parts:
         if not isinstance(part, str):
-            recurs = part.mark in templates and part.name not in ("html", "body", "article", "main")
-            if is_boilerplate(part, in_article) or (
-                recurs and not (in_article and part.name in TEXT_BLOCKS)
-            ):
+            recurs = part.mark in templates and not _stays(part, in_article)
+            if recurs or is_boilerplate(part, in_article):
                 kept.append(" ")
                 continue
-            _prune(part, templates, in_article or part.name in ("article", "main"))
+            _prune(part, templates, in_article or part.name in ARTICLES)
         kept.append(part)
     element.parts = kept
 
@@ -183,7 +203,7 @@ def _articles(element: Element) -> list[Element]:
     found = []
     for part in element.parts:
         if not isinstance(part, str):
-            found.extend([part] if part.name in ("article", "main") else _articles(part))
+            found.extend([part] if part.name in ARTICLES else _articles(part))
     return found
 
 
@@ -255,7 +275,7 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [sorted(set(_deep_safe(hash_subtrees, h or ""))) for h in batch.html]
+            found = [_deep_safe(template_marks, html or "") for html in batch.html]
             yield pd.DataFrame({"_page": batch["_page"], "_host": batch["_host"], "_marks": found})
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
