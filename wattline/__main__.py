@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import argparse
+import time
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession
 
 from wattline.plans import run
+from wattline.schema import ContractError
 from wattline.session import build_session
-from wattline.sources import header_columns, stream_readings
-from wattline.streaming import ingest
+from wattline.sources import export_readings, header_columns, stream_readings
+from wattline.streaming import compact, ingest, read_enriched
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -21,22 +26,56 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--strict", action="store_true", help="fail on a line with too many fields")
     parser.add_argument("--unordered", action="store_true", help="do not sort the target by time")
     parser.add_argument("--single-file", action="store_true", help="for small results")
-    parser.add_argument("--work", help="shared folder for intermediate tables, replaced by each run")
-    parser.add_argument("--input-bytes", type=int, help="size of the source; sets split and shuffle sizes")
+    parser.add_argument("--missing", choices=["error", "empty"], default="error", help="what an absent source is")
+    parser.add_argument("--work", help="shared folder for intermediate tables, which go after the run")
+    parser.add_argument("--input-bytes", type=int, help="size of the source, in place of its listing")
     parser.add_argument("--follow", action="store_true", help="keep a tier up to date as files arrive")
     parser.add_argument("--every", default="5 minutes", help="refresh period of --follow")
+    parser.add_argument("--columns", help="with --follow: header names, if no file is there yet to read them from")
+    parser.add_argument("--export", help="with --follow: folder that gets the enriched tier after every batch")
+    parser.add_argument("--compact", action="store_true", help="with --follow --once: merge the tier's parts at the end")
     parser.add_argument("--once", action="store_true", help="with --follow: process new files, then stop")
     return parser.parse_args(arguments)
 
 
+def follow(spark: SparkSession, options: argparse.Namespace) -> None:
+    """Keep a tier, and a result if one is named, up to date; waits for the first file."""
+    columns = options.columns.split(options.sep) if options.columns else None
+    while columns is None:
+        try:
+            columns = header_columns(spark, options.source, options.sep)
+        except (AnalysisException, ContractError):
+            if options.once:
+                return
+            time.sleep(5)
+    stream = stream_readings(
+        spark, options.source, columns, options.sep, strict=options.strict, quarantine=True
+    )
+
+    def publish(session: SparkSession) -> None:
+        export_readings(
+            read_enriched(session, options.target),
+            options.export,
+            options.target_sep,
+            format=options.format,
+            ordered=not options.unordered,
+            single_file=options.single_file,
+        )
+
+    every = None if options.once else options.every
+    after = publish if options.export else None
+    ingest(
+        stream, options.target, formats=options.formats, every=every, after=after
+    ).awaitTermination()
+    if options.compact:
+        compact(spark, options.target)
+
+
 def main(arguments: list[str] | None = None) -> None:
     options = parse(arguments)
     spark = build_session(input_bytes=options.input_bytes)
     if options.follow:
-        columns = header_columns(spark, options.source, options.sep)
-        stream = stream_readings(spark, options.source, columns, options.sep, strict=options.strict)
-        every = None if options.once else options.every
-        ingest(stream, options.target, formats=options.formats, every=every).awaitTermination()
+        follow(spark, options)
         return
     report = run(
         spark,
@@ -47,6 +86,7 @@ def main(arguments: list[str] | None = None) -> None:
         format=options.format,
         formats=options.formats,
         strict=options.strict,
+        missing=options.missing,
         ordered=not options.unordered,
         single_file=options.single_file,
         work=options.work,

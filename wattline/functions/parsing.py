@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from wattline.schema import EARLIEST, LATEST, MISSING_TOKENS
 
 # Decimal text only. It keeps out what the JVM's double parser also takes: 1d, 1f, 0x1p3, NaN.
-DECIMAL_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# No part gives back what it has taken, so a text is read once however long it is.
+DECIMAL_TEXT = r"^\s*+[+-]?(\d++(\.\d*+)?|\.\d++)([eE][+-]?\d++)?\s*+$"
 
 _FORMAT_FIELDS = {"yyyy": 4, "MM": 2, "dd": 2, "HH": 2, "mm": 2, "ss": 2}
 
@@ -42,8 +43,9 @@ def reading(value: Column) -> Column:
 
 
 def is_rejected(value: Column) -> Column:
-    """True for a value that is present but not a usable number."""
-    return value.isNotNull() & number_or_null(value).isNull()
+    """True for a value that is present but not a usable number; missing tokens are not present."""
+    present = missing_to_null(value.cast("string")).isNotNull()
+    return present & number_or_null(value).isNull()
 
 
 def wall_clock(value: Column, formats: Iterable[str] = ()) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from wattline.functions import is_rejected, reading, wall_clock
@@ -81,22 +81,30 @@ def clean_readings(
     df: DataFrame,
     order_by: Sequence[str] = (READ_ORDER,),
     formats: Iterable[str] = (),
+    metrics: Observation | None = None,
 ) -> DataFrame:
     """Raw readings to cleaned readings; unknown columns pass through.
 
     ``order_by`` says which of several rows with one timestamp comes first. Tables loaded
     with ``load_readings`` carry it; for others name columns with a natural sequence, which
     are kept. The order of steps matters: test rows go first, so they neither turn into
-    zeros nor shadow a real row with their timestamp.
+    zeros nor shadow a real row with their timestamp. ``metrics`` receives
+    ``without_timestamp_count``, the rows dropped because their timestamp is missing, unreadable
+    or out of range; as with every observation only an action over all rows counts them all.
     """
-    return (
+    typed = (
         df.transform(require_columns)
         .transform(require_columns, order_by)
         .transform(drop_sentinel_rows)
         .transform(coerce_numbers)
         .transform(drop_redundant_date)
         .transform(parse_timestamps, formats)
-        .transform(drop_missing_timestamps)
+    )
+    if metrics is not None:
+        dropped = F.count_if(F.col(TIMESTAMP).isNull()).alias("without_timestamp_count")
+        typed = typed.observe(metrics, dropped)
+    return (
+        typed.transform(drop_missing_timestamps)
         .transform(keep_first_per_timestamp, order_by)
         .transform(flag_consumption)
         .transform(timestamp_first)

@@ -24,6 +24,7 @@ from wattline.schema import (
     ContractError,
     quoted,
 )
+from wattline.session import materialize
 
 DAILY_MAXIMA = {c: f"max_{c}" for c in GRID_MEASURES}
 
@@ -95,12 +96,17 @@ def add_peak_flags(cleaned: DataFrame, rollup: DataFrame | None = None) -> DataF
 def add_hour_metrics(cleaned: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
     """Add the two totals and the two peak flags to every row.
 
-    A rollup made before (a written table, a stream's running rollup) saves reading the
-    cleaned rows a second time. A source column named ``hour`` is dropped.
+    Without a ``rollup`` the cleaned rows are computed once, written to the shared work folder
+    together with their rollup, and read from there: two uses of a plan would clean twice. With a
+    rollup made before (a written table, a stream's running rollup) nothing is written and the
+    rows should come from a table as well. A source column named ``hour`` is dropped.
     """
     require_columns(cleaned, (TIMESTAMP, *GRID_MEASURES))
     taken = {*TOTALS.values(), *PEAK_FLAGS.values(), *DAILY_MAXIMA.values(), DAY}
     clash = sorted(taken & set(cleaned.columns))
     if clash:
         raise ContractError(f"columns already exist: {', '.join(clash)}")
+    if rollup is None:
+        cleaned = materialize(cleaned, "cleaned")
+        rollup = materialize(hourly_rollup(cleaned), "rollup")
     return cleaned.transform(add_hour_totals, rollup).transform(add_peak_flags, rollup)

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -54,12 +54,32 @@ def build_session(
 def stateful_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Settings under which to start a stateful stream; a started stream keeps them.
 
-    The zone is UTC, as watermarks need. State is cut into as many partitions as there are
-    cores: every partition commits a store per batch, and the number is fixed for good.
+    The zone is UTC, as watermarks need. ``partitions`` is the number of parts the state is cut
+    into, for the whole life of the stream: some 1 GB of state in each is a good size, and every
+    one commits a store per batch. Without it the session's shuffle partitions hold, which
+    ``build_session`` takes from the size of the input; the cores there happen to be at the start
+    say nothing about a stream that runs for months.
     """
+    wanted = {"spark.sql.session.timeZone": "UTC"}
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Split and shuffle sizes for one job; settings the session was given stay as they are."""
     wanted = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+        key: value
+        for key, value in settings_for(input_bytes).items()
+        if key not in given_settings(spark)
     }
     before = {key: spark.conf.get(key) for key in wanted}
     try:
@@ -71,6 +91,11 @@ def stateful_settings(spark: SparkSession, partitions: int | None = None) -> Ite
             spark.conf.set(key, value)
 
 
+def given_settings(spark: SparkSession) -> set[str]:
+    """The settings that were named when the session was built."""
+    return {key for key, _ in spark.sparkContext.getConf().getAll()}
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the folder that driver and executors share.
 
@@ -79,7 +104,18 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise RuntimeError("set spark.checkpoint.dir to a folder all machines share")
         base = os.path.join(tempfile.gettempdir(), "wattline")
     return f"{base.rstrip('/')}/wattline-{uuid.uuid4().hex}/{purpose}"
+
+
+def materialize(df: DataFrame, purpose: str, work: str | None = None) -> DataFrame:
+    """Write a table to the shared work folder and read it back.
+
+    The result is columnar, so later steps read only the columns they need, and it does not
+    depend on the executors that made it. Every call takes a new folder, below ``work`` if given.
+    """
+    path = f"{work}/{purpose}" if work else work_folder(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.schema import ENRICHED_SCHEMA, TIMESTAMP, quoted
+from wattline.schema import ENRICHED_SCHEMA, READ_ORDER, TIMESTAMP, quoted
 from wattline.sources.delimited import text_options
+from wattline.sources.files import add_files, beside, exists, publish, remove
 
 
 def export_readings(
@@ -21,30 +22,50 @@ def export_readings(
     mode: str = "overwrite",
     metrics: Observation | None = None,
 ) -> bool:
-    """Write a table to a folder; returns False and writes nothing if it has no rows.
+    """Write a table to a folder; returns False and changes nothing if it has no rows.
 
-    ``ordered`` range-partitions and sorts by timestamp, so part files follow each other in
-    time. ``single_file`` is for small results: one task writes everything. ``metrics``
-    receives ``row_count`` with the write itself.
+    Rows are written to a folder beside the target, which takes the target's place when all of
+    them are there: a failing export leaves the last good result. ``mode`` is ``overwrite``,
+    ``append`` (adds the new part files), ``ignore`` or ``errorifexists``. ``ordered``
+    range-partitions and sorts by timestamp, so part files follow each other in time.
+    ``single_file`` is for small results: one task writes everything. ``metrics`` receives
+    ``row_count`` of the write, over all rows. The internal order column is left out.
     """
     if format not in ("csv", "parquet"):
         raise ValueError("format must be 'csv' or 'parquet'")
-    if df.isEmpty():
+    spark = df.sparkSession
+    there = exists(spark, path)
+    if there and mode == "ignore":
         return False
+    if there and mode not in ("overwrite", "append"):
+        raise FileExistsError(path)
+    df = df.drop(READ_ORDER)
     if ordered:
         df = df.orderBy(TIMESTAMP)
     if single_file:
         df = df.coalesce(1)
-    if metrics is not None:
-        df = df.observe(metrics, F.count(F.lit(1)).alias("row_count"))
-    if format == "parquet":
-        df.write.mode(mode).parquet(path)
-    else:
-        options = text_options(sep) | {
-            "ignoreLeadingWhiteSpace": False,
-            "ignoreTrailingWhiteSpace": False,
-        }
-        as_text(df).write.mode(mode).options(**options).csv(path)
+    counted = metrics if metrics is not None else Observation()
+    df = df.observe(counted, F.count(F.lit(1)).alias("row_count"))
+    staged = beside(path, "staged")
+    try:
+        if format == "parquet":
+            df.write.parquet(staged)
+        else:
+            options = text_options(sep) | {
+                "ignoreLeadingWhiteSpace": False,
+                "ignoreTrailingWhiteSpace": False,
+            }
+            as_text(df).write.options(**options).csv(staged)
+        if not counted.get["row_count"]:
+            remove(spark, staged)
+            return False
+        if there and mode == "append":
+            add_files(spark, staged, path)
+        else:
+            publish(spark, staged, path)
+    except BaseException:
+        remove(spark, staged)
+        raise
     return True
 
 

@@ -7,19 +7,25 @@ from wattline.streaming.continuous import (
     typed_rows,
 )
 from wattline.streaming.tier import (
+    compact,
     ingest,
     read_clean,
+    read_commits,
     read_enriched,
+    read_quarantined,
     read_rollup,
     write_batch,
 )
 
 __all__ = [
     "closed_daily_maxima",
+    "compact",
     "first_within_watermark",
     "ingest",
     "read_clean",
+    "read_commits",
     "read_enriched",
+    "read_quarantined",
     "read_rollup",
     "running_hour_totals",
     "typed_rows",

@@ -1,49 +1,49 @@
-"""Recurring refresh: new files are cleaned into a tier that always equals one batch run.
+"""Recurring refresh: new files are cleaned into a tier whose committed state equals one batch run.
 
 A tier is a folder::
 
-    clean/reading_day=D/batch_id=N/   rows accepted by micro-batch N
-    rollup/reading_day=D/             sums and maxima per hour of that day
-    checkpoint/                       progress of the stream
+    clean/reading_day=D/batch_id=N/    rows accepted by micro-batch N
+    rollup/reading_day=D/batch_id=N/   sums and maxima per hour of these rows
+    quarantine/batch_id=N/             malformed lines of the batch, if the stream keeps them
+    commits/batch_id=N/                counts of the batch, written last
+    checkpoint/                        progress of the stream
 
-A micro-batch replaces only partitions with its own number, looks only at lower numbers, and
-recomputes the rollup of the days it touches, so a batch that runs again after a failure
-leaves the tier as if it had run once. Work and directory listing per batch follow the days
-the batch touches, not the age of the tier. Totals over all history change with every batch;
-they are not written onto rows but joined from the rollup when the tier is read.
+Readers see committed batches only. A micro-batch replaces only partitions with its own number and
+looks only at lower ones, so a batch that runs again after a failure leaves the tier as if it had
+run once, and what a failed one left behind is not seen. Every batch takes the same path, the first
+like any other, over few days or many. It reads the timestamps of earlier rows of the days it
+touches and nothing else of them: rollups of parts add up when they are read. ``compact`` merges
+the parts of many batches.
 
 The checkpoint belongs to the tier: start a new stream with a new tier.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wattline.functions import calendar_day
-from wattline.operators import (
-    add_hour_metrics,
-    clean_readings,
-    drop_missing_timestamps,
-    drop_sentinel_rows,
-    hourly_rollup,
-    parse_timestamps,
-    require_columns,
-)
-from wattline.schema import CLEAN_SCHEMA, DAY, READ_ORDER, TIMESTAMP
-from wattline.sources.delimited import is_missing_path, number_lines
+from wattline.operators import add_hour_metrics, clean_readings, hourly_rollup
+from wattline.operators.metrics import DAILY_MAXIMA
+from wattline.schema import CLEAN_SCHEMA, DAY, GRID_MEASURES, HOUR, READ_ORDER, TIMESTAMP, TOTALS
+from wattline.session import materialize, work_folder
+from wattline.sources.delimited import QUARANTINED, is_missing_path, number_lines
+from wattline.sources.files import exists, names_in, remove
 
 BATCH = "batch_id"
 
-# Up to this many days of a batch are named one by one; beyond it the tier is read by the
-# span from the first to the last day.
-_NAMED_DAYS = 366
+COMMIT_SCHEMA = T.StructType(
+    [
+        T.StructField(name, T.LongType())
+        for name in ("accepted_count", "quarantined_count", "without_timestamp_count", BATCH)
+    ]
+)
 
 
 def ingest(
@@ -53,16 +53,20 @@ def ingest(
     order_by: Sequence[str] = (READ_ORDER,),
     formats: Iterable[str] = (),
     every: str | None = "5 minutes",
+    after: Callable[[SparkSession], object] | None = None,
 ) -> StreamingQuery:
     """Start cleaning a stream of raw readings into a tier.
 
     ``every`` is the refresh period; ``None`` processes what is there and stops. Keep-first
-    holds within a batch by ``order_by`` and across batches by arrival.
+    holds within a batch by ``order_by`` and across batches by arrival. ``after`` is called when
+    a batch is committed, for example to export the tier; it runs again if the batch does.
     """
     formats = tuple(formats)
 
     def accept(batch: DataFrame, batch_id: int) -> None:
         write_batch(number_lines(batch), tier, batch_id, order_by, formats)
+        if after is not None:
+            after(batch.sparkSession)
 
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return (
@@ -83,25 +87,42 @@ def write_batch(
     """Add one batch of raw readings to a tier; safe to repeat with the same number."""
     spark = raw.sparkSession
     clean, rollup = f"{tier}/clean", f"{tier}/rollup"
-    rows = clean_readings(raw, order_by, formats).withColumn(DAY, calendar_day(F.col(TIMESTAMP)))
+    quarantined = 0
+    if QUARANTINED in raw.columns:
+        raw, quarantined = _set_aside(raw, tier, batch_id)
+    dropped = Observation()
+    cleaned = clean_readings(raw, order_by, formats, dropped)
+    folder = work_folder(spark, "batch")
+    rows = materialize(cleaned.withColumn(DAY, calendar_day(F.col(TIMESTAMP))), "cleaned", folder)
+    # The days of the calendar bound what the driver sees.
+    days = {r[DAY].isoformat() for r in rows.select(DAY).distinct().collect()}
     stored = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
-    if batch_id > 0:
-        touched = _Days(_days_of(raw, formats))
-        if touched.none:
-            return
-        earlier = touched.read(spark, clean, stored)
-        if earlier is not None:
-            rows = unseen(rows, earlier.where(F.col(BATCH) < batch_id))
+    earlier = _read_days(spark, clean, days, stored)
+    if earlier is not None:
+        rows = unseen(rows, _visible(earlier, tier).where(F.col(BATCH) < batch_id))
     # Rebalancing brings the rows of a day together, so a day gets few files, and splits a
     # day that is large.
-    _replace(rows.withColumn(BATCH, F.lit(batch_id)).hint("rebalance", DAY), clean, DAY, BATCH)
-    if batch_id == 0:
-        # The first batch may be the whole history. Its days are read off the partitions.
-        touched = _Days(_read(spark, clean, clean, stored).select(DAY).distinct())
-        if touched.none:
-            return
-    current = touched.read(spark, clean, stored).where(F.col(BATCH) <= batch_id)
-    _replace(hourly_rollup(current), rollup, DAY)
+    numbered = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    _replace(numbered.hint("rebalance", DAY), clean)
+    accepted = _read_days(spark, clean, days, stored)
+    count = 0
+    if accepted is not None:
+        mine = accepted.where(F.col(BATCH) == batch_id)
+        _replace(hourly_rollup(mine).withColumn(BATCH, F.lit(batch_id).cast("bigint")), rollup)
+        count = mine.count()
+    counts = [(count, quarantined, dropped.get["without_timestamp_count"], batch_id)]
+    _replace(spark.createDataFrame(counts, COMMIT_SCHEMA), f"{tier}/commits", BATCH)
+    remove(spark, folder)
+
+
+def _set_aside(raw: DataFrame, tier: str, batch_id: int) -> tuple[DataFrame, int]:
+    """Writes the malformed lines of a batch; gives the other rows and the number of lines."""
+    lines = raw.where(F.col(QUARANTINED).isNotNull())
+    lines = lines.select(F.col(READ_ORDER)["file"].alias("file"), F.col(QUARANTINED).alias("line"))
+    path = f"{tier}/quarantine/{BATCH}={batch_id}"
+    lines.write.mode("overwrite").parquet(path)
+    count = raw.sparkSession.read.schema(lines.schema).parquet(path).count()
+    return raw.where(F.col(QUARANTINED).isNull()).drop(QUARANTINED), count
 
 
 def unseen(rows: DataFrame, earlier: DataFrame) -> DataFrame:
@@ -113,57 +134,107 @@ def unseen(rows: DataFrame, earlier: DataFrame) -> DataFrame:
     return rows.join(earlier.select(TIMESTAMP), TIMESTAMP, "left_anti")
 
 
+def read_commits(spark: SparkSession, tier: str) -> DataFrame:
+    """Per committed batch: rows accepted, lines quarantined, rows without a usable timestamp."""
+    commits = _read_or_empty(spark, f"{tier}/commits", COMMIT_SCHEMA)
+    return commits.where(F.col(BATCH) >= 0)
+
+
+def read_quarantined(spark: SparkSession, tier: str) -> DataFrame:
+    """The malformed lines of all committed batches, with the file each came from."""
+    schema = T.StructType(
+        [T.StructField("file", T.StringType()), T.StructField("line", T.StringType()), T.StructField(BATCH, T.LongType())]
+    )
+    lines = _read_or_empty(spark, f"{tier}/quarantine", schema)
+    return lines.where(F.col(BATCH) <= _committed(spark, tier)[1]).drop(BATCH)
+
+
 def read_clean(
     spark: SparkSession, tier: str, schema: T.StructType = CLEAN_SCHEMA
 ) -> DataFrame:
     """The cleaned rows of a tier. ``schema`` names pass-through columns where there are any."""
-    stored = T.StructType(
-        [*schema.fields, T.StructField(DAY, T.DateType()), T.StructField(BATCH, T.LongType())]
-    )
-    return _read_or_empty(spark, f"{tier}/clean", stored).select(*schema.names)
+    return _clean(spark, tier, schema, _committed(spark, tier))
 
 
 def read_rollup(spark: SparkSession, tier: str) -> DataFrame:
-    """Sums and maxima per day and hour, up to date with the cleaned rows."""
-    schema = hourly_rollup(spark.createDataFrame([], CLEAN_SCHEMA)).schema
-    return _read_or_empty(spark, f"{tier}/rollup", schema)
+    """Sums and maxima per day and hour over all committed rows."""
+    return _rollup(spark, tier, _committed(spark, tier))
 
 
 def read_enriched(
     spark: SparkSession, tier: str, schema: T.StructType = CLEAN_SCHEMA
 ) -> DataFrame:
     """The tier with totals and peak flags as of now, without a shuffle of its rows."""
-    return add_hour_metrics(read_clean(spark, tier, schema), read_rollup(spark, tier))
+    state = _committed(spark, tier)
+    return add_hour_metrics(_clean(spark, tier, schema, state), _rollup(spark, tier, state))
 
 
-class _Days:
-    """The days of one batch and how to read just these days of a table."""
+def compact(spark: SparkSession, tier: str, schema: T.StructType = CLEAN_SCHEMA) -> None:
+    """Merge the parts of all committed batches, one folder per day.
 
-    def __init__(self, days: DataFrame):
-        self.named: list[dt.date] = [r[DAY] for r in days.limit(_NAMED_DAYS + 1).collect()]
-        self.none = not self.named
-        if len(self.named) > _NAMED_DAYS:
-            self.named = []
-            self.first, self.last = days.agg(F.min(DAY), F.max(DAY)).first()
+    The merged rows go under a negative batch number, minus the last batch minus one, and count
+    from their own commit on; readers go on seeing the parts until then. The parts they replace
+    are removed afterwards, so run this when no reader still uses them, and between batches.
+    """
+    state = _committed(spark, tier)
+    base, last = state
+    if last < 0 or -base - 1 >= last:
+        return
+    merged = -last - 1
+    number = F.lit(merged).cast("bigint")
+    rows = _clean(spark, tier, schema, state).withColumn(DAY, calendar_day(F.col(TIMESTAMP)))
+    _replace(rows.withColumn(BATCH, number).hint("rebalance", DAY), f"{tier}/clean")
+    _replace(_rollup(spark, tier, state).withColumn(BATCH, number), f"{tier}/rollup")
+    _replace(spark.createDataFrame([(0, 0, 0, merged)], COMMIT_SCHEMA), f"{tier}/commits", BATCH)
+    for table in ("clean", "rollup"):
+        for day in names_in(spark, f"{tier}/{table}"):
+            for part in names_in(spark, f"{tier}/{table}/{day}") if day.startswith(DAY) else []:
+                name, _, found = part.partition("=")
+                if name == BATCH and (base <= int(found) <= last and int(found) != merged):
+                    remove(spark, f"{tier}/{table}/{day}/{part}")
+
+
+def _committed(spark: SparkSession, tier: str) -> tuple[int, int]:
+    """The batch number of the last compaction (0 if there is none) and the last batch (or -1).
+
+    Both are the names of folders that a finished batch writes last.
+    """
+    numbers = [
+        int(name.partition("=")[2])
+        for name in names_in(spark, f"{tier}/commits")
+        if name.startswith(f"{BATCH}=") and exists(spark, f"{tier}/commits/{name}")
+    ]
+    return min([0, *numbers]), max([-1, *numbers])
+
+
+def _visible(rows: DataFrame, tier: str, state: tuple[int, int] | None = None) -> DataFrame:
+    base, last = state or _committed(rows.sparkSession, tier)
+    batch = F.col(BATCH)
+    if base == 0:
+        return rows.where(batch.between(0, last))
+    return rows.where((batch == base) | batch.between(-base, last))
 
-    def read(self, spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-        if self.named:
-            # Only the folders of these days are listed.
-            names = ",".join(d.isoformat() for d in sorted(self.named))
-            return _read(spark, path, f"{path}/{DAY}={{{names}}}", schema)
-        table = _read(spark, path, path, schema)
-        return None if table is None else table.where(F.col(DAY).between(self.first, self.last))
 
+def _clean(spark, tier: str, schema: T.StructType, state: tuple[int, int]) -> DataFrame:
+    stored = T.StructType(
+        [*schema.fields, T.StructField(DAY, T.DateType()), T.StructField(BATCH, T.LongType())]
+    )
+    rows = _read_or_empty(spark, f"{tier}/clean", stored)
+    return _visible(rows, tier, state).select(*schema.names)
 
-def _days_of(raw: DataFrame, formats: Iterable[str]) -> DataFrame:
-    """The distinct days of a batch, by partial aggregation and before de-duplication."""
+
+def _rollup(spark, tier: str, state: tuple[int, int]) -> DataFrame:
+    schema = hourly_rollup(spark.createDataFrame([], CLEAN_SCHEMA)).schema
+    parts = _read_or_empty(
+        spark, f"{tier}/rollup", T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    )
     return (
-        raw.transform(require_columns)
-        .transform(drop_sentinel_rows)
-        .transform(parse_timestamps, formats)
-        .transform(drop_missing_timestamps)
-        .select(calendar_day(F.col(TIMESTAMP)).alias(DAY))
-        .distinct()
+        _visible(parts, tier, state)
+        .groupBy(DAY, HOUR)
+        .agg(
+            *[F.sum(TOTALS[c]).alias(TOTALS[c]) for c in GRID_MEASURES],
+            *[F.max(DAILY_MAXIMA[c]).alias(DAILY_MAXIMA[c]) for c in GRID_MEASURES],
+        )
     )
 
 
@@ -172,11 +243,22 @@ def _replace(rows: DataFrame, path: str, *partitions: str) -> None:
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
+        .partitionBy(*(partitions or (DAY, BATCH)))
         .parquet(path)
     )
 
 
+def _read_days(
+    spark: SparkSession, path: str, days: set[str], schema: T.StructType
+) -> DataFrame | None:
+    """Just these days of a table: one listing of its days, then only their folders."""
+    there = [n for n in names_in(spark, path) if n.partition("=")[2] in days]
+    if not there:
+        return None
+    folders = [f"{path}/{name}" for name in sorted(there)]
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def _read(spark: SparkSession, base: str, path: str, schema: T.StructType) -> DataFrame | None:
     try:
         return spark.read.schema(schema).option("basePath", base).parquet(path)
