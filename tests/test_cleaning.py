@@ -1,6 +1,7 @@
 """Cleaning operators on the reference shapes and on edge cases with known values."""
 
 import datetime as dt
+import time
 
 import pandas as pd
 import pytest
@@ -258,3 +259,12 @@ def test_properties_of_any_table(spark, rows):
             hour = [v[at] for t, v in first.items() if t.hour == r.timestamp.hour]
             assert r[flag] == (r[column] == max(day))
             assert r[column + "_total"] == sum(hour)
+
+
+def test_very_long_digits_cost_no_more_than_reading_them(spark):
+    long = "1" * 100_000 + "x"
+    df = spark.createDataFrame([(long,), ("12",), ("1" * 100_000,)], "v string")
+    started = time.perf_counter()
+    values = [r.n for r in df.select(number_or_null(F.col("v")).alias("n")).collect()]
+    assert values == [None, 12, None]
+    assert time.perf_counter() - started < 5

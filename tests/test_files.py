@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from wattline import add_hour_metrics, clean_readings, export_readings, load_readings, read_export, read_quarantine, run
 from wattline.operators import first_rows, last_rows, non_missing, table_shape
-from wattline.schema import ENRICHED_SCHEMA, READ_ORDER
+from wattline.schema import ENRICHED_SCHEMA, READ_ORDER, ContractError
 
 HEADER = "timestamp;grid_purchase;grid_feedin;direct_consumption;date"
 BASIC = [
@@ -83,6 +83,81 @@ def test_malformed_lines(spark, tmp_path):
     assert strict.count() == 2
 
 
+def test_long_and_open_quotes(spark, tmp_path):
+    long = '"' + "x" * 1_000_000 + ';""y"""'
+    lines = [
+        f"2023-10-01 00:00:00;1;1;1;{long}",
+        f"{long};2",
+        f"2023-10-01 02:00:00;3;3;3;{long};extra",
+        '"2023-10-01 03:00:00;4;4;4;x',
+    ]
+    path = write(tmp_path / "q.csv", lines)
+    assert values(load_readings(spark, path).orderBy(READ_ORDER), "grid_purchase") == [("1",), ("2",)]
+    assert [r.line for r in read_quarantine(spark, path).collect()] == lines[2:]
+    with pytest.raises(Exception, match="open quote"):
+        load_readings(spark, write(tmp_path / "o.csv", lines[3:]), strict=True).count()
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = write(tmp_path / "n.csv", ['"2023-10-01 00:00:00";1;2;3;"a', 'b"', "2023-10-01 01:00:00;4;5;6;x"])
+    raw = load_readings(spark, path, multiline=True)
+    assert values(raw.orderBy(READ_ORDER), "grid_purchase", "date") == [("1", "a\nb"), ("4", "x")]
+
+
+def test_blank_and_repeated_header_names(spark, tmp_path):
+    for name in ("a.csv", "b.csv"):
+        write(tmp_path / name, [f"{name};2023-10-01 0{len(name)}:00:00;1;2;3;p;q"], f";{HEADER[:-5]};x;x")
+    raw = load_readings(spark, str(tmp_path))
+    assert raw.columns == ["Unnamed: 0", *HEADER.split(";")[:-1], "x", "x.1", READ_ORDER]
+    assert values(raw.orderBy(READ_ORDER), "`Unnamed: 0`", "`x.1`") == [("a.csv", "q"), ("b.csv", "q")]
+    assert clean_readings(raw).count() == 1
+
+
+def test_a_file_without_any_line(spark, tmp_path):
+    (tmp_path / "z.csv").write_text("")
+    with pytest.raises(ContractError, match="no header"):
+        load_readings(spark, str(tmp_path / "z.csv"))
+    assert load_readings(spark, str(tmp_path / "z.csv"), missing="empty").count() == 0
+
+
+def test_absent_source_through_the_whole_job(spark, tmp_path):
+    target = tmp_path / "out"
+    report = run(spark, str(tmp_path / "none.csv"), str(target), missing="empty")
+    assert (report.loaded_rows, report.quarantined_rows, report.exported_rows) == (0, 0, 0)
+    assert not target.exists()
+
+
+def test_a_failing_export_leaves_the_last_result(spark, tmp_path):
+    target = str(tmp_path / "out")
+    good = spark.sql("SELECT timestamp_ntz'2023-01-01' AS timestamp, 1 AS x")
+    assert export_readings(good, target)
+    bad = good.select("timestamp", F.raise_error(F.lit("broken")).cast("int").alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        export_readings(bad, target)
+    assert not export_readings(good.where("x > 1"), target)
+    assert read_export(spark, target, schema=good.schema).count() == 1
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    export_readings(good, target, mode="append")
+    assert read_export(spark, target, schema=good.schema).count() == 2
+    assert not export_readings(good, target, mode="ignore")
+
+
+def test_a_loaded_table_is_exported_with_true_counts(spark, tmp_path):
+    path = write(tmp_path / "big.csv", [f"2023-10-01 00:00:00;{i};0;0;x" for i in range(400_000)])
+    for kind in ("parquet", "csv"):
+        seen = Observation()
+        raw = load_readings(spark, path, metrics=seen)
+        assert export_readings(raw, str(tmp_path / kind), format=kind, ordered=False)
+        assert seen.get["row_count"] == 400_000
+    assert READ_ORDER not in spark.read.parquet(str(tmp_path / "parquet")).columns
+
+
+def test_rows_without_a_timestamp_are_counted(spark, tmp_path):
+    path = write(tmp_path / "t.csv", [*BASIC, "never;1;1;1;x", ";1;1;1;x", "1600-01-01;1;1;1;x"])
+    report = run(spark, path, str(tmp_path / "out"))
+    assert (report.loaded_rows, report.without_timestamp_rows, report.exported_rows) == (6, 3, 3)
+
+
 def test_missing_tokens_become_null(spark, tmp_path):
     raw = load_readings(spark, write(tmp_path / "t.csv", ["2023-10-01;NA;n/a;null;", "2023-10-01 01:00; NA;0;Dev test;x"]))
     assert values(raw.orderBy(READ_ORDER), "grid_purchase", "grid_feedin", "direct_consumption", "date") == [
@@ -195,7 +270,7 @@ def test_parquet_sink_and_modes(spark, basic, tmp_path):
     target = str(tmp_path / "pq")
     run(spark, basic, target, format="parquet", ordered=False)
     assert spark.read.parquet(target).dtypes == [(f.name, f.dataType.simpleString()) for f in ENRICHED_SCHEMA]
-    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(FileExistsError):
         run(spark, basic, target, format="parquet", mode="errorifexists")
     with pytest.raises(ValueError):
         run(spark, basic, target, format="xml")

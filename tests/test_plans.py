@@ -61,6 +61,19 @@ def test_enrichment_never_shuffles_rows(cleaned):
     assert "Exchange" not in rows and "Window" not in rows
 
 
+def test_the_public_call_cleans_once(spark):
+    """Behind it stand a table and its rollup: one scan and one row-level shuffle of raw rows."""
+    raw = spark.range(1000).select(
+        F.col("id").alias("ord"), F.lit("2024-01-15 12:00:00").alias("timestamp"),
+        F.lit("1").alias("grid_purchase"), F.lit("2").alias("grid_feedin"), F.lit("3").alias("direct_consumption"),
+    )
+    enriched = add_hour_metrics(clean_readings(raw, ["ord"]))
+    text = plan(enriched)
+    assert "Range" not in text and "Window" not in text
+    assert text.count("FileScan") == 3
+    assert not [s for s in shuffles(text) if "timestamp" in s]
+
+
 def test_rollup_reads_three_columns_and_aggregates_before_its_shuffle(cleaned):
     text = plan(hourly_rollup(cleaned))
     assert "ReadSchema: struct<timestamp:timestamp_ntz,grid_purchase:bigint,grid_feedin:bigint>" in text

@@ -6,6 +6,7 @@ from wattline.operators import clean_readings
 from wattline.plans import materialize, run
 from wattline.session import settings_for, stateful_settings, work_folder
 from wattline.sources import load_readings
+from wattline.sources.files import total_bytes
 
 HEADER = "timestamp;grid_purchase;grid_feedin;direct_consumption\n"
 
@@ -43,13 +44,37 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         work_folder(Session(), "x")
 
 
-def test_recurring_runs_replace_their_own_tables(spark, tmp_path):
+def test_recurring_runs_leave_no_tables_behind(spark, tmp_path):
     source, work, target = tmp_path / "a.csv", tmp_path / "work", str(tmp_path / "out")
     for n in (3, 2):
         source.write_text(HEADER + "".join(f"2023-10-01 0{i}:00:00;{i};0;0\n" for i in range(n)))
         assert run(spark, str(source), target, work=str(work)).exported_rows == n
     assert spark.read.csv(target, header=True).count() == 2
-    assert sorted(p.name for p in work.iterdir()) == ["cleaned", "rollup"]
+    assert list(work.iterdir()) == []
+
+
+def test_a_run_takes_its_sizes_from_the_listing(spark, tmp_path, monkeypatch):
+    source = tmp_path / "a.csv"
+    source.write_text(HEADER + "2023-10-01 00:00:00;1;2;3\n")
+    monkeypatch.setattr("wattline.plans.job.total_bytes", lambda *_: 10 * 1024**4)
+    seen = []
+    monkeypatch.setattr(
+        "wattline.session.given_settings", lambda _: {"spark.sql.shuffle.partitions"}
+    )
+    load = load_readings
+
+    def loading(session, *args, **options):
+        seen.append(session.conf.get("spark.sql.files.maxPartitionBytes"))
+        seen.append(session.conf.get("spark.sql.shuffle.partitions"))
+        return load(session, *args, **options)
+
+    monkeypatch.setattr("wattline.plans.job.load_readings", loading)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    run(spark, str(source), str(tmp_path / "out"))
+    assert seen == [settings_for(10 * 1024**4)["spark.sql.files.maxPartitionBytes"], "4"]
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert total_bytes(spark, str(source)) == source.stat().st_size
+    assert total_bytes(spark, str(tmp_path / "none*")) == 0
 
 
 def test_named_columns_replace_reading_the_header(spark, tmp_path):
@@ -66,7 +91,9 @@ def test_stateful_settings_are_put_back(spark):
     try:
         with stateful_settings(spark):
             assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
-            assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+        with stateful_settings(spark, 16):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
         assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Kolkata"
         assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     finally:

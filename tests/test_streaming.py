@@ -7,19 +7,24 @@ from conftest import DATA
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.operators import add_hour_metrics, clean_readings
+from wattline.operators import add_hour_metrics, clean_readings, hourly_rollup
 from wattline.schema import CLEAN_SCHEMA, DAY
 from wattline.sources import events_as_readings, stream_readings
 from wattline.streaming import (
     closed_daily_maxima,
+    compact,
     first_within_watermark,
     ingest,
     read_clean,
+    read_commits,
     read_enriched,
+    read_quarantined,
+    read_rollup,
     running_hour_totals,
     typed_rows,
     write_batch,
 )
+from wattline.streaming.tier import unseen
 
 WITH_ID = T.StructType([*CLEAN_SCHEMA.fields, T.StructField("event_id", T.LongType())])
 
@@ -66,21 +71,85 @@ def test_batch_without_usable_rows_and_empty_tier(spark, tmp_path):
     assert read_clean(spark, tier).count() == 0
 
 
-def test_batch_over_very_many_days(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("wattline.streaming.tier._NAMED_DAYS", 5)
+@pytest.mark.parametrize("days", [5, 500])
+def test_few_and_many_days_take_the_same_path(spark, tmp_path, days):
     tier = str(tmp_path / "tier")
-    start = dt.date(2020, 1, 1)
-    rows = [
-        (i, f"{start + dt.timedelta(days=i)} 05:00:00", str(i), "1", None) for i in range(12)
-    ]
-    raw = spark.createDataFrame(
-        rows, "event_id long, timestamp string, grid_purchase string, grid_feedin string, direct_consumption string"
+    raw = spark.range(days).select(
+        F.col("id").alias("event_id"),
+        F.concat(F.date_add(F.lit(dt.date(2020, 1, 1)), F.col("id").cast("int")).cast("string"), F.lit(" 05:00:00")).alias("timestamp"),
+        F.col("id").cast("string").alias("grid_purchase"),
+        F.lit("1").alias("grid_feedin"),
+        F.lit(None).cast("string").alias("direct_consumption"),
     )
-    write_batch(raw.where("event_id < 9"), tier, 0, ["event_id"])
+    write_batch(raw.where(F.col("event_id") < days - 3), tier, 0, ["event_id"])
     write_batch(raw, tier, 1, ["event_id"])
-    got = read_clean(spark, tier, WITH_ID)
-    assert got.count() == 12
-    assert got.select("timestamp").distinct().count() == 12
+    cleaned = clean_readings(raw, ["event_id"])
+    assert rows_of(read_clean(spark, tier, WITH_ID)) == rows_of(cleaned)
+    assert rows_of(read_rollup(spark, tier)) == rows_of(hourly_rollup(cleaned))
+    # The second batch has stored its own three days and no others.
+    parts = [p for p in (tmp_path / "tier" / "rollup").glob("*/batch_id=1")]
+    assert len(parts) == 3
+
+
+def test_an_unfinished_batch_is_not_seen(spark, tmp_path, monkeypatch):
+    tier = str(tmp_path / "tier")
+    parts = arrivals(spark)
+    write_batch(parts[0], tier, 0, ["event_id"])
+    before = rows_of(read_enriched(spark, tier, WITH_ID))
+
+    def fail(*_):
+        raise RuntimeError("lost between the writes")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("wattline.streaming.tier.hourly_rollup", fail)
+        with pytest.raises(RuntimeError, match="between the writes"):
+            write_batch(parts[1], tier, 1, ["event_id"])
+    assert list((tmp_path / "tier" / "clean").glob("*/batch_id=1"))
+    assert rows_of(read_enriched(spark, tier, WITH_ID)) == before
+    write_batch(parts[1], tier, 1, ["event_id"])
+    write_batch(parts[2], tier, 2, ["event_id"])
+    cleaned = clean_readings(events_as_readings(spark, DATA), ["event_id"])
+    assert rows_of(read_enriched(spark, tier, WITH_ID)) == rows_of(add_hour_metrics(cleaned))
+
+
+def test_a_batch_reads_only_timestamps_of_earlier_rows(spark, tmp_path):
+    tier = str(tmp_path / "tier")
+    write_batch(arrivals(spark)[0], tier, 0, ["event_id"])
+    earlier = spark.read.parquet(f"{tier}/clean")
+    text = unseen(clean_readings(arrivals(spark)[1], ["event_id"]), earlier)._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<timestamp:timestamp_ntz>" in text
+
+
+def test_compaction_changes_no_result_and_leaves_one_part_a_day(spark, tmp_path):
+    tier = str(tmp_path / "tier")
+    parts = arrivals(spark)
+    for number in (0, 1):
+        write_batch(parts[number], tier, number, ["event_id"])
+    before = rows_of(read_enriched(spark, tier, WITH_ID))
+    compact(spark, tier, WITH_ID)
+    assert rows_of(read_enriched(spark, tier, WITH_ID)) == before
+    assert {p.name for p in (tmp_path / "tier" / "clean").glob("*/*")} == {"batch_id=-2"}
+    write_batch(parts[2], tier, 2, ["event_id"])
+    compact(spark, tier, WITH_ID)
+    cleaned = clean_readings(events_as_readings(spark, DATA), ["event_id"])
+    assert rows_of(read_enriched(spark, tier, WITH_ID)) == rows_of(add_hour_metrics(cleaned))
+    assert {p.name for p in (tmp_path / "tier" / "rollup").glob("*/*")} == {"batch_id=-3"}
+    compact(spark, tier, WITH_ID)
+
+
+def test_malformed_lines_of_a_stream_are_set_aside_and_counted(spark, tmp_path):
+    folder, tier = tmp_path / "in", str(tmp_path / "tier")
+    folder.mkdir()
+    header = "timestamp;grid_purchase;grid_feedin;direct_consumption"
+    (folder / "a.csv").write_text(
+        f"{header}\n2023-10-01 00:00:00;1;1;1\n2023-10-01 01:00:00;1;1;1;more\nnever;1;1;1\n"
+    )
+    stream = stream_readings(spark, str(folder), header.split(";"), quarantine=True)
+    ingest(stream, tier, every=None).awaitTermination()
+    assert read_clean(spark, tier).count() == 1
+    assert [r.line for r in read_quarantined(spark, tier).collect()] == ["2023-10-01 01:00:00;1;1;1;more"]
+    (commit,) = read_commits(spark, tier).collect()
+    assert (commit.accepted_count, commit.quarantined_count, commit.without_timestamp_count) == (1, 1, 1)
 
 
 def test_large_day_is_read_by_its_own_folder_only(spark, tmp_path):

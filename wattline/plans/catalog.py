@@ -37,7 +37,7 @@ from wattline.operators import (
     table_shape,
     timestamp_first,
 )
-from wattline.plans.job import enriched_readings, materialize, run
+from wattline.plans.job import JobReport, enriched_readings, materialize, run
 from wattline.schema import (
     CLEAN_SCHEMA,
     CONSUMPTION,
@@ -57,9 +57,10 @@ from wattline.sources import (
     load_readings,
     read_events,
     read_export,
+    read_quarantine,
 )
 from wattline.sources.delimited import text_options
-from wattline.sources.tables import EVENT_ID
+from wattline.sources.tables import EVENT_ID, messy_readings, write_messy_files
 from wattline.streaming import (
     closed_daily_maxima,
     first_within_watermark,
@@ -157,7 +158,7 @@ def readings_with_metrics(spark, folder):
 
 
 def readings_with_metrics_in_one_plan(spark, folder):
-    """The same without intermediate tables."""
+    """The same by the public call alone, which writes what it uses twice."""
     return cleaned(spark, folder).transform(add_hour_metrics)
 
 
@@ -186,6 +187,26 @@ def peak_hours(spark, folder):
     return daily_peak_hours(cleaned(spark, folder))
 
 
+# Unusable, odd and missing text
+
+
+def messy_missing_tokens(spark, folder):
+    raw = messy_readings(spark, folder)
+    return raw.withColumns({c: missing_to_null(F.col(c)) for c in raw.columns if c != EVENT_ID})
+
+
+def messy_rejected_values(spark, folder):
+    return rejected_values(messy_readings(spark, folder))
+
+
+def messy_clean_readings(spark, folder):
+    return clean_readings(messy_readings(spark, folder), ORDER)
+
+
+def messy_metrics(spark, folder):
+    return messy_clean_readings(spark, folder).transform(add_hour_metrics)
+
+
 # Exploration
 
 
@@ -234,6 +255,21 @@ def csv_round_trip(spark, folder):
     return read_export(spark, target, schema=schema)
 
 
+def quarantined_lines(spark, folder):
+    """Lines with too many fields or an open quote."""
+    path = write_messy_files(spark, folder, work_folder(spark, "messy"))
+    return read_quarantine(spark, path).select("line")
+
+
+def job_counts(spark, folder):
+    """What the whole job reports about files with malformed lines and unusable timestamps."""
+    path = write_messy_files(spark, folder, work_folder(spark, "messy"))
+    report = run(spark, path, work_folder(spark, "export"), format="parquet", ordered=False)
+    names = [name for name in JobReport.__dataclass_fields__ if name.endswith("_rows")]
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in names])
+    return spark.createDataFrame([tuple(getattr(report, name) for name in names)], schema)
+
+
 def parquet_round_trip(spark, folder):
     target = work_folder(spark, "export")
     enriched = readings_with_metrics(spark, folder)
@@ -276,6 +312,19 @@ def stream_metrics(spark, folder):
     return read_enriched(spark, _streamed_tier(spark, folder), CLEAN_WITH_ID)
 
 
+def stream_export(spark, folder):
+    """The enriched tier as delimited files, published anew after every arrival."""
+    tier, target = work_folder(spark, "tier"), work_folder(spark, "export")
+
+    def publish(session: SparkSession) -> None:
+        export_readings(read_enriched(session, tier, CLEAN_WITH_ID), target)
+
+    for stream in _arrivals(raw_readings(spark, folder), work_folder(spark, "feed")):
+        ingest(stream, tier, order_by=ORDER, every=None, after=publish).awaitTermination()
+    schema = T.StructType([*CLEAN_WITH_ID.fields, *ENRICHED_SCHEMA.fields[len(CLEAN_SCHEMA) :]])
+    return read_export(spark, target, schema=schema)
+
+
 def stream_hour_totals(spark, folder):
     """Totals over all typed rows, duplicates included."""
     out, checkpoint = work_folder(spark, "totals"), work_folder(spark, "checkpoint")
@@ -335,6 +384,10 @@ QUERIES: dict[str, Query] = {
     "daily_maxima": day_maxima,
     "daily_peak_flags": daily_peak_flags,
     "daily_peak_hours": peak_hours,
+    "messy_missing_tokens": messy_missing_tokens,
+    "messy_rejected_values": messy_rejected_values,
+    "messy_clean_readings": messy_clean_readings,
+    "messy_metrics": messy_metrics,
     "column_profile": profile,
     "non_null_consumption": non_null_consumption,
     "head_rows": head_rows,
@@ -342,10 +395,13 @@ QUERIES: dict[str, Query] = {
     "load_metrics": load_metrics,
     "loaded_from_files": loaded_from_files,
     "csv_round_trip": csv_round_trip,
+    "quarantined_lines": quarantined_lines,
+    "job_counts": job_counts,
     "parquet_round_trip": parquet_round_trip,
     "export_text": export_text,
     "stream_clean_readings": stream_clean_readings,
     "stream_metrics": stream_metrics,
+    "stream_export": stream_export,
     "stream_hour_totals": stream_hour_totals,
     "stream_daily_maxima": stream_daily_maxima,
 }

@@ -90,7 +90,44 @@ def _with(*parts: str, select: str) -> str:
 _ENRICHED_ROWS = _with(_RAW, _TYPED, _CLEAN, _TOTALS, _ENRICHED, select="SELECT * FROM enriched")
 _CLEAN_ROWS = _with(_RAW, _TYPED, _CLEAN, select="SELECT * FROM clean")
 _RAW_ROWS = _with(_RAW, select=f"SELECT {_RAW_COLUMNS} FROM raw")
-_REJECTED = "{0} IS NOT NULL AND TRY_CAST({0} AS DOUBLE) IS NULL"
+_REJECTED = "{0} IS NOT NULL AND {0} NOT IN " + _TOKENS + " AND TRY_CAST({0} AS DOUBLE) IS NULL"
+
+# The messy view, with the values its texts stand for.
+_MESSY = """
+messy AS (
+  SELECT event_id,
+         CASE event_id % 23 WHEN 3 THEN 'not-a-date' WHEN 7 THEN '1600-01-01 00:00:00' WHEN 11 THEN ''
+           WHEN 13 THEN '2024-02-30 00:00:00' WHEN 5 THEN "timestamp" || '+05:30'
+           ELSE "timestamp" END AS "timestamp",
+         CASE event_id % 19 WHEN 2 THEN '1d' WHEN 4 THEN '0x1F' WHEN 6 THEN '1e20' WHEN 8 THEN 'inf'
+           WHEN 10 THEN '9007199254740993' WHEN 12 THEN ' 12.9 ' WHEN 14 THEN '-7.9' WHEN 16 THEN '1e3'
+           ELSE grid_purchase END AS grid_purchase,
+         CASE WHEN event_id % 41 < 18 THEN (['', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN',
+             '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'n/a', 'nan', 'null'])[event_id % 41 + 1]
+           ELSE grid_feedin END AS grid_feedin,
+         direct_consumption, "date", ts,
+         CASE WHEN event_id % 23 NOT IN (3, 7, 11, 13) THEN date_trunc('minute', ts) END AS moment,
+         CASE event_id % 19 WHEN 2 THEN 0 WHEN 4 THEN 0 WHEN 6 THEN 0 WHEN 8 THEN 0
+           WHEN 10 THEN 9007199254740993 WHEN 12 THEN 12 WHEN 14 THEN -7 WHEN 16 THEN 1000
+           ELSE COALESCE(CAST(trunc(TRY_CAST(grid_purchase AS DOUBLE)) AS BIGINT), 0) END AS purchase,
+         CASE WHEN event_id % 41 < 18 THEN 0
+           ELSE COALESCE(CAST(trunc(TRY_CAST(grid_feedin AS DOUBLE)) AS BIGINT), 0) END AS feedin
+  FROM raw)"""
+
+_MESSY_TYPED = f"""
+typed AS (
+  SELECT event_id, moment AS "timestamp", CAST(purchase AS BIGINT) AS grid_purchase,
+         CAST(feedin AS BIGINT) AS grid_feedin,
+         {_number("direct_consumption")} AS direct_consumption,
+         {_number("direct_consumption")} > 0 AS direct_consumption_flag, ts
+  FROM messy
+  WHERE direct_consumption IS DISTINCT FROM 'Dev test' AND moment IS NOT NULL)"""
+
+_MESSY_LINES = """
+fields AS (
+  SELECT *, concat_ws(';', event_id::VARCHAR, coalesce("timestamp", ''), coalesce(grid_purchase, ''),
+                      coalesce(grid_feedin, ''), coalesce(direct_consumption, ''), coalesce("date", '')) AS line
+  FROM messy)"""
 _WATERMARK = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM typed)"
 
 ORACLES: dict[str, str] = {
@@ -195,6 +232,42 @@ ORACLES: dict[str, str] = {
             )
         ),
     ),
+    "messy_missing_tokens": _with(
+        _RAW,
+        _MESSY,
+        _LOADED.replace("FROM raw", "FROM messy"),
+        select="SELECT * FROM loaded",
+    ),
+    "messy_rejected_values": _with(
+        _RAW,
+        _MESSY,
+        select="""SELECT 'grid_purchase' AS column_name,
+                  count(*) FILTER (WHERE event_id % 19 IN (2, 4, 6, 8)) AS rejected_count FROM messy
+                  UNION ALL SELECT 'grid_feedin', 0
+                  UNION ALL SELECT 'direct_consumption',
+                  count(*) FILTER (WHERE direct_consumption = 'Dev test') FROM messy""",
+    ),
+    "messy_clean_readings": _with(_RAW, _MESSY, _MESSY_TYPED, _CLEAN, select="SELECT * FROM clean"),
+    "messy_metrics": _with(
+        _RAW, _MESSY, _MESSY_TYPED, _CLEAN, _TOTALS, _ENRICHED, select="SELECT * FROM enriched"
+    ),
+    "quarantined_lines": _with(
+        _RAW,
+        _MESSY,
+        _MESSY_LINES,
+        select="""SELECT CASE event_id % 50 WHEN 7 THEN line || ';one;more' ELSE '"' || line END AS line
+                  FROM fields WHERE event_id % 50 IN (7, 13)""",
+    ),
+    "job_counts": _with(
+        _RAW,
+        _MESSY,
+        select="""SELECT count(*) AS loaded_rows,
+                  (SELECT count(*) FROM messy WHERE event_id % 50 IN (7, 13)) AS quarantined_rows,
+                  count(*) FILTER (WHERE moment IS NULL AND kept) AS without_timestamp_rows,
+                  count(DISTINCT moment) FILTER (WHERE kept) AS exported_rows
+                  FROM (SELECT moment, event_id % 50 = 9 OR direct_consumption IS DISTINCT FROM 'Dev test' AS kept
+                        FROM messy WHERE event_id % 50 NOT IN (7, 13))""",
+    ),
     "non_null_consumption": _with(
         _RAW, _LOADED, select="SELECT * FROM loaded WHERE direct_consumption IS NOT NULL"
     ),
@@ -219,6 +292,7 @@ ORACLES: dict[str, str] = {
     ),
     "stream_clean_readings": _CLEAN_ROWS,
     "stream_metrics": _ENRICHED_ROWS,
+    "stream_export": _ENRICHED_ROWS,
     "stream_hour_totals": _with(
         _RAW, _TYPED, _TOTALS.replace("FROM clean", "FROM typed"), select="SELECT * FROM totals"
     ),
