@@ -18,7 +18,7 @@ TREE = (
     " points binary, nodes binary, center binary, radius double, norm double"
 )
 FOUND = "query_row bigint, query_id bigint, vec_id bigint, row bigint, score bigint"
-LEAF_POINTS, CHILDREN, SHRINK = 64, 16, 1.3
+LEAF_POINTS, CHILDREN, SHRINK = 256, 8, 1.3
 
 
 @dataclass
@@ -87,14 +87,17 @@ class Best:
         self.worst = np.full(queries, -np.inf) if bounds is None else bounds.copy()
 
     def offer(self, low: int, scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, own: np.ndarray) -> None:
-        for i, line in enumerate(scores):
-            query = low + i
-            at = np.flatnonzero((line >= self.worst[query]) & (rows != own[i]))
+        good = (scores >= self.worst[low : low + len(scores), None]) & (rows != own[:, None])
+        for i in np.flatnonzero(good.any(axis=1)):
+            query, line = low + int(i), scores[i]
+            at = np.flatnonzero(good[i])
             if len(at) > 4 * self.k:
                 edge = np.partition(line[at], len(at) - self.k)[len(at) - self.k]
                 at = at[line[at] >= edge]
-            if not len(at):
-                continue
+                # Of many equal scores only the smallest ids can count; points come by id.
+                equal = at[line[at] == edge]
+                equal = equal[np.lexsort((rows[equal], ids[equal]))][: self.k]
+                at = np.concatenate((at[line[at] > edge], equal))
             new = [(-int(line[j]), int(ids[j]), int(rows[j])) for j in at]
             self.found[query] = sorted(self.found[query] + new)[: self.k]
             if len(self.found[query]) == self.k:
