@@ -15,19 +15,24 @@ from wattline.session import work_folder
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # An open store holds some 4 MB of local disk, however little is in it.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
 @contextmanager
 def _state_on_disk(spark: SparkSession) -> Iterator[None]:
-    before = {key: spark.conf.get(key) for key in _STATE}
+    before = {key: spark.conf.get(key, None) for key in _STATE}
     for key, value in _STATE.items():
         spark.conf.set(key, value)
     try:
         yield
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def normalised(text: Column) -> Column:
@@ -113,7 +118,7 @@ def exact_duplicates(
     """
     groups = materialize(digest_state(spark, path, files_per_trigger, checkpoint), "digests")
     table = spark.read.parquet(path)
-    rows = located(table)
+    rows = materialize(located(table), "rows")
 
     hits = groups.where("group_size > 1").select("text_sha256", "best")
     contents = table.select(
@@ -131,9 +136,9 @@ def exact_duplicates(
         .join(keepers, "text_sha256")
         .where("content <> kept_content")
         .select("text_sha256")
-        .distinct()
     )
-    differ = materialize(differ, "collisions")
+    # Written before the distinct: a join on its own can be split where one digest has most rows.
+    differ = materialize(materialize(differ, "unequal").distinct(), "collisions")
 
     same_digest = rows.join(groups, "text_sha256").join(differ, "text_sha256", "left_anti")
     found = texts.join(differ, "text_sha256", "left_semi").select("file", "row", "content")
