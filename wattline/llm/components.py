@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import materialize
+from wattline.llm.common import matching, materialize
 
 Fits = Callable[[Column, Column], Column]
 Verify = Callable[[DataFrame], DataFrame]
@@ -41,27 +41,52 @@ def connected(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-def connected_groups(buckets: DataFrame, fits: Fits, verify: Verify, hub_rounds: int = 2) -> DataFrame:
+def connected_groups(
+    buckets: DataFrame,
+    fits: Fits,
+    verify: Verify,
+    hub_rounds: int = 3,
+    details: DataFrame | None = None,
+    near: Fits | None = None,
+    pairs_up_to: int = 0,
+) -> DataFrame:
     """(node, component) of the graph of verified pairs that share a bucket; linked nodes only.
 
     ``buckets`` has the columns signature, node and info (what ``fits`` needs to know of a node);
     ``verify`` gives those of the pairs (a, b) that are links. First, members of each bucket are
     held against one of them, the bucket's hub, which ties a dense group together with a link per
-    member. Members already connected need no further look. At last every pair of a bucket that is
+    member. A hub is the member that shares the largest buckets, in later rounds one of those. Members already connected need no further look. At last every pair of a bucket that is
     still in different groups, and not yet looked at, is verified: no link between groups is lost,
-    whatever the hubs were. So the pairs verified are few for groups of true copies, and all of
-    them only where a bucket's members are not alike.
+    whatever the hubs were. Of these pairs one member is outside the bucket's largest group, so
+    their number follows what the hubs have left over. ``near`` may rule out pairs that cannot be
+    links, by the column detail of ``details`` (node, detail), before they are written out.
+    Buckets of at most ``pairs_up_to`` members skip all this: their pairs are written out at once,
+    no more than half that number for each of their rows.
     """
+    buckets = materialize(buckets, "buckets")
     shared = buckets.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    buckets = materialize(buckets.join(shared.drop("members"), "signature"), "shared")
+    buckets = matching(buckets, shared, "signature", "shared")
     labels: DataFrame | None = None
     tried: DataFrame | None = None
+    if pairs_up_to:
+        few = buckets.where(F.col("members") <= pairs_up_to).drop("members")
+        others = few.select(*(F.col(c).alias(f"{c}_2") for c in few.columns))
+        met = (F.col("signature") == F.col("signature_2")) & (F.col("node") < F.col("node_2"))
+        pairs = few.join(others, met & fits(F.col("info"), F.col("info_2")))
+        pairs = pairs.select(F.col("node").alias("a"), F.col("node_2").alias("b")).distinct()
+        tried = materialize(pairs, "few-pairs")
+        labels = connected(verify(tried))
+        buckets = buckets.where(F.col("members") > pairs_up_to)
+    # Who shares most with most is likely to be at the heart of its group.
+    weights = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
+    buckets = materialize(buckets.drop("members").join(weights, "node"), "weighted")
     for turn in range(hub_rounds + 1):
         members = _labelled(buckets, labels)
         if turn < hub_rounds:
-            first = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+            heart = F.col("weight") if turn == 0 else F.floor(F.log2("weight"))
+            place = F.struct(heart.alias("heart"), F.xxhash64("node", F.lit(turn)).alias("any"))
             hubs = members.groupBy("signature").agg(
-                F.min(F.struct(first.alias("place"), "node", "info", "component")).alias("hub"),
+                F.max(F.struct(place.alias("place"), "node", "info", "component")).alias("hub"),
                 F.min("component").alias("low"),
                 F.max("component").alias("high"),
             )
@@ -72,26 +97,33 @@ def connected_groups(buckets: DataFrame, fits: Fits, verify: Verify, hub_rounds:
                 .select(F.col("node").alias("x"), F.col("hub.node").alias("y"))
             )
         else:
+            parts = members.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("size"))
             still_open = (
-                members.groupBy("signature")
-                .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                .where("low < high")
-                .select("signature")
+                parts.groupBy("signature")
+                .agg(F.max(F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("groups"))
+                .where("groups > 1")
+                .select("signature", F.col("main.component").alias("main"))
             )
-            left = materialize(members.join(still_open, "signature"), "open")
-            right = left.select(*(F.col(c).alias(f"{c}_2") for c in left.columns))
-            pairs = left.join(
-                right,
+            everyone = members.join(still_open, "signature")
+            if details is not None:
+                everyone = everyone.join(details, "node")
+            everyone = materialize(everyone, "open")
+            others = everyone.select(*(F.col(c).alias(f"{c}_2") for c in everyone.columns))
+            possible = (
                 (F.col("signature") == F.col("signature_2"))
-                & (F.col("node") < F.col("node_2"))
                 & (F.col("component") != F.col("component_2"))
-                & fits(F.col("info"), F.col("info_2")),
-            ).select(F.col("node").alias("x"), F.col("node_2").alias("y"))
+                & ((F.col("component_2") == F.col("main")) | (F.col("node") < F.col("node_2")))
+                & fits(F.col("info"), F.col("info_2"))
+            )
+            if near is not None:
+                possible &= near(F.col("detail"), F.col("detail_2"))
+            outside = everyone.where(F.col("component") != F.col("main"))
+            pairs = outside.join(others, possible).select(F.col("node").alias("x"), F.col("node_2").alias("y"))
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        if turn and pairs.isEmpty():
+        if labels is not None and pairs.isEmpty():
             continue
         links = verify(pairs)
         if labels is not None:

@@ -154,7 +154,7 @@ def _chunks(batches: Iterator[pd.DataFrame], hasher: WordHasher, width: int):
         yield np.array(keys, dtype="<i8"), sets
 
 
-def token_frequencies(texts: DataFrame, total: int, width: int, bucket_tokens: int = 4_000_000) -> DataFrame:
+def token_frequencies(texts: DataFrame, total: int, width: int, bucket_tokens: int = 2_000_000) -> DataFrame:
     """For each chunk of documents, its tokens that more than one document has, and how many do.
 
     Every chunk sends its distinct tokens with their counts to buckets by value; a bucket adds up
@@ -195,6 +195,10 @@ def token_frequencies(texts: DataFrame, total: int, width: int, bucket_tokens: i
     return sent.groupBy("bucket").applyInPandas(answer, "chunk bigint, tokens binary, totals binary")
 
 
+#: The last byte of a signature is the step of its groups, or all ones for a single token.
+LOW_BYTE = np.uint64(255)
+
+
 def signatures(found: np.ndarray, totals: np.ndarray, frequent: int) -> np.ndarray:
     """The signatures of a set, given how many documents have each of its tokens.
 
@@ -210,7 +214,7 @@ def signatures(found: np.ndarray, totals: np.ndarray, frequent: int) -> np.ndarr
     found, totals = found[shared], totals[shared]
     rank = np.lexsort((found, totals))
     found, totals = found[rank], totals[rank]
-    rare = found[totals < frequent]
+    rare = found[totals < frequent] | LOW_BYTE
     if alone + len(rare) >= enough:
         return rare[: enough - alone]
     often, signed = found[totals >= frequent], [rare]
@@ -226,11 +230,10 @@ def signatures(found: np.ndarray, totals: np.ndarray, frequent: int) -> np.ndarr
             members.append(token)
             if held >= enough:
                 break
-        salt = np.uint64((scheme * 0x9E3779B97F4A7C15) & ((1 << 64) - 1))
         for members in seen.values():
             m = np.array(sorted(members), dtype=np.uint64)
             a, b = np.triu_indices(len(m), 1)
-            signed.append(mix(mix(m[a] ^ salt) + m[b]))
+            signed.append((mix(mix(m[a]) + m[b]) & ~LOW_BYTE) | np.uint64(scheme & 127))
     return np.unique(np.concatenate(signed))
 
 
@@ -269,6 +272,46 @@ def similar_enough(a: Column, b: Column) -> Column:
     return F.least(a, b) * 4 >= F.greatest(a, b) * 3
 
 
+#: Bits of a set's bitmap, in longs of 64.
+BITMAP_LONGS = 32
+
+
+def bitmaps(texts: DataFrame, width: int) -> DataFrame:
+    """(node, detail): for each set a bitmap, in which every token turns one bit, and its size."""
+    names = [f"w{i}" for i in range(BITMAP_LONGS)]
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher = WordHasher()
+        for batch in batches:
+            rows = np.zeros((len(batch), BITMAP_LONGS), dtype=np.int64)
+            sizes = []
+            for i, text in enumerate(batch.text):
+                found = shingles(hasher, text, width)
+                odd = np.bincount((found % np.uint64(64 * BITMAP_LONGS)).astype(np.int64), minlength=64 * BITMAP_LONGS) & 1
+                rows[i] = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+                sizes.append(len(found))
+            frame = pd.DataFrame(rows, columns=names)
+            yield frame.assign(node=batch.node.to_numpy(), n=sizes)[["node", "n", *names]]
+
+    schema = "node bigint, n bigint, " + ", ".join(f"{name} bigint" for name in names)
+    drawn = texts.select("node", "text").mapInPandas(draw, schema)
+    return drawn.select("node", F.struct("n", *names).alias("detail"))
+
+
+def few_differences(a: Column, b: Column) -> Column:
+    """Whether two sets that share a signature can be linked, as far as this signature tells.
+
+    Of two sets the larger one's step is the one that both must share a signature of. Bitmaps
+    differ in no more bits than sets have tokens apart; linked sets have at most a seventh.
+    """
+    step = F.floor(F.log(F.greatest(a["n"], b["n"])) / F.lit(math.log(4 / 3)))
+    scheme = F.col("signature").bitwiseAND(F.lit(255))
+    differing = F.lit(0)
+    for i in range(BITMAP_LONGS):
+        differing = differing + F.bit_count(a[f"w{i}"].bitwiseXOR(b[f"w{i}"]))
+    return ((scheme == 255) | (scheme == step % 128)) & (differing * 7 <= a["n"] + b["n"])
+
+
 def verified_pairs(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """The pairs whose whole sets meet 100 * intersection >= 75 * union."""
 
@@ -326,7 +369,14 @@ def similar_documents(docs: DataFrame, width: int = 5, frequent: int = 64) -> Da
     ).withColumn("chunk", F.pmod(F.xxhash64("node", F.lit("chunk")), F.lit(chunks)))
     answers = token_frequencies(texts, size["tokens"] or 0, width)
     buckets = materialize(signed_documents(texts, answers, width, frequent), "signatures")
-    groups = connected_groups(buckets, similar_enough, lambda pairs: verified_pairs(pairs, texts, width))
+    details = materialize(bitmaps(texts, width), "bitmaps")
+    groups = connected_groups(
+        buckets,
+        similar_enough,
+        lambda pairs: verified_pairs(pairs, texts, width),
+        details=details,
+        near=few_differences,
+    )
     labelled = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = labelled.groupBy("component").agg(F.min("first").alias("least"))
     named = labelled.join(names, "component").select("d1", "d2", F.col("least.doc_id").alias("component_id"))
