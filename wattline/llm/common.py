@@ -21,14 +21,20 @@ _PREFILTER = {
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10GB",
 }
 
+#: Stands for a null id inside pandas, which would turn a column with nulls into doubles.
+NO_ID = -(2**63)
+
 __all__ = [
+    "NO_ID",
     "SPACE",
     "WORD",
+    "filled",
     "materialize",
     "matching",
     "ranked",
     "read_table",
     "running_totals",
+    "unfilled",
     "word_count",
 ]
 
@@ -51,6 +57,14 @@ def matching(rows: DataFrame, wanted: DataFrame, key: str, purpose: str) -> Data
             spark.conf.set(name, value)
 
 
+def filled(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("bigint"), F.lit(NO_ID)).alias(column)
+
+
+def unfilled(column: str) -> Column:
+    return F.when(F.col(column) != NO_ID, F.col(column)).alias(column)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text as BIGINT; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

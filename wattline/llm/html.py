@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import materialize
+from wattline.llm.common import filled, materialize, unfilled
 
 # Names of HTML elements by what they mean.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -302,7 +302,9 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z]+://([^/?#]*)", 1))
     # A page is told apart by all it holds, so the two readings need no row numbers that agree.
     own = F.xxhash64("page_id", "url", "html")
-    rows = pages.select("page_id", "url", "html").withColumns({"_page": own, "_host": host})
+    rows = pages.select("page_id", "url", "html").withColumns(
+        {"_page": own, "_host": host, "page_id": filled("page_id")}
+    )
     marks = rows.select("_page", "_host", "html").mapInPandas(
         hashes, "_page bigint, _host string, _marks array<bigint>"
     )
@@ -315,4 +317,5 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
         .agg(F.collect_set("_mark").alias("_templates"))
     )
     joined = rows.join(known, "_page", "left").select("page_id", "url", "html", "_templates")
-    return joined.mapInPandas(texts, "page_id bigint, url string, text string, n_chars bigint")
+    found = joined.mapInPandas(texts, "page_id bigint, url string, text string, n_chars bigint")
+    return found.withColumn("page_id", unfilled("page_id"))

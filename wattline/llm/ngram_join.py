@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import matching, materialize
+from wattline.llm.common import filled, matching, materialize, unfilled
 from wattline.llm.components import connected_groups
 from wattline.llm.hashing import WordHasher, mix, words_of
 
@@ -53,13 +53,15 @@ def set_rows(docs: DataFrame, width: int) -> DataFrame:
                 second.append(int.from_bytes(value[8:], "little", signed=True))
             yield pd.DataFrame(
                 {"doc_id": batch.doc_id, "doc_key": batch.doc_key, "n": sizes, "d1": first, "d2": second}
-            ).astype({"doc_id": "Int64"})
+            )
 
-    return _keyed(docs).mapInPandas(digest, "doc_id bigint, doc_key bigint, n bigint, d1 bigint, d2 bigint")
+    schema = "doc_id bigint, doc_key bigint, n bigint, d1 bigint, d2 bigint"
+    rows = _keyed(docs).mapInPandas(digest, schema)
+    return rows.withColumn("doc_id", unfilled("doc_id"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_key"), "text")
+    return docs.select(filled("doc_id"), F.xxhash64("doc_id", "text").alias("doc_key"), "text")
 
 
 def _buckets_of(tokens: np.ndarray, buckets: int) -> np.ndarray:

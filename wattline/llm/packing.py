@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm.common import materialize, ranked, running_totals
+from wattline.llm.common import filled, materialize, ranked, unfilled
 
 PIECES = "doc_id bigint, copy bigint, doc_tokens bigint, start bigint, length bigint, ids_crc32 bigint"
 
@@ -62,19 +62,20 @@ def cut_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataF
                     crc = zlib.crc32(piece.tobytes())
                     rows.append((doc_id, copy, len(ids), start, len(piece), crc))
             columns = ["doc_id", "copy", "doc_tokens", "start", "length", "ids_crc32"]
-            frame = pd.DataFrame(rows, columns=columns)
-            yield frame.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=columns)
 
     # The copy number only keeps repeated rows apart; a text is never held twice.
-    texts = docs.select("doc_id", F.monotonically_increasing_id().alias("copy_"), "text")
-    return texts.mapInPandas(cut, PIECES)
+    texts = docs.select(filled("doc_id"), F.monotonically_increasing_id().alias("copy_"), "text")
+    pieces = texts.mapInPandas(cut, PIECES)
+    return pieces.withColumn("doc_id", unfilled("doc_id"))
 
 
 def pack_histogram(counts: dict[int, int], size: int) -> list[tuple[list[int], int]]:
     """Shortest-pack-first: packing patterns (lengths in order) with how often each is used.
 
     Lengths are placed longest first, into the pack that has the least room left of those with
-    room enough, as many packs at once as there are. Work and result depend on ``size`` and on
+    room enough, as many packs at once as there are. Where none has, new packs take as many of
+    this length as they hold. Work and result depend on ``size`` and on
     the number of distinct lengths, not on how many pieces there are.
     """
     open_packs: dict[int, list[tuple[list[int], int]]] = {}
@@ -83,8 +84,10 @@ def pack_histogram(counts: dict[int, int], size: int) -> list[tuple[list[int], i
         while left:
             room = next((r for r in range(length, size) if open_packs.get(r)), None)
             if room is None:
-                open_packs.setdefault(size - length, []).append(([length], left))
-                break
+                held = min(size // length, left)
+                open_packs.setdefault(size - held * length, []).append(([length] * held, left // held))
+                left %= held
+                continue
             pattern, available = open_packs[room].pop()
             used = min(left, available)
             if available > used:

@@ -204,22 +204,23 @@ def without_passages(texts: DataFrame, owners: DataFrame, window: int) -> DataFr
                 found[passage] = own[a : b - window + 1]
         automaton = PassageAutomaton(found)
         rows = []
-        for doc_id, doc, text in zip(docs.doc_id, docs.order_id, docs.text, strict=True):
+        for doc, text in zip(docs.order_id, docs.text, strict=True):
             words = words_of(text)
             gone = automaton.covered(words, doc, window)
             kept = b" ".join(word for word, out in zip(words, gone, strict=True) if not out)
-            rows.append((doc_id, len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
+            rows.append((doc, len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
         columns = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
-        return pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+        return pd.DataFrame(rows, columns=columns)
 
-    return (
-        texts.select("chunk", "doc_id", "order_id", "text")
+    kept = (
+        texts.select("chunk", "order_id", "text")
         .groupBy("chunk")
         .cogroup(owners.groupBy("chunk"))
         .applyInPandas(
             locate, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
         )
     )
+    return kept.withColumn("doc_id", F.when(F.col("doc_id") != int(NO_ID), F.col("doc_id")))
 
 
 def remove_repeated_passages(
@@ -249,7 +250,6 @@ def remove_repeated_passages(
     chunks = max(1, math.ceil(max(size["rows"] / chunk_docs, chars / (chunk_docs * 4_000))))
     parts = max(1, min(chunks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows = docs.select(
-        "doc_id",
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(int(NO_ID))).alias("order_id"),
         "text",
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"),

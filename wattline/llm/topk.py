@@ -18,6 +18,8 @@ TREE = (
     " points binary, nodes binary, center binary, radius double, norm double"
 )
 FOUND = "query_row bigint, query_id bigint, vec_id bigint, row bigint, score bigint"
+#: Stands for a null id, which comes after all others.
+LAST_ID = 2**63 - 1
 LEAF_POINTS, CHILDREN, SHRINK = 256, 8, 1.3
 
 
@@ -190,7 +192,7 @@ def whole_vectors(vectors: DataFrame, scale: float) -> DataFrame:
     usable = F.col("embedding").isNotNull() & F.forall(components, finite)
     whole = F.transform(components, lambda x: F.floor(x * F.lit(float(scale))).cast("bigint"))
     return vectors.where(usable).select(
-        "vec_id", whole.alias("point"), F.monotonically_increasing_id().alias("row")
+        F.coalesce(F.col("vec_id").cast("bigint"), F.lit(LAST_ID)).alias("vec_id"), whole.alias("point"), F.monotonically_increasing_id().alias("row")
     )
 
 
@@ -218,8 +220,7 @@ def plant_trees(points: DataFrame, pivots: np.ndarray, block_rows: int) -> DataF
 
     def plant(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["vec_id", "row"])
-        ids = frame.vec_id.fillna(np.iinfo("int64").max).to_numpy("int64")
-        tree = build_tree(ids, frame.row.to_numpy(), _matrix(frame.point, width))
+        tree = build_tree(frame.vec_id.to_numpy(), frame.row.to_numpy(), _matrix(frame.point, width))
         return pd.DataFrame([_pack(key[0], int(frame.cell.iloc[0]), tree)])
 
     return blocks.select("block", "cell", "vec_id", "row", "point").groupBy("block").applyInPandas(plant, TREE)
@@ -289,7 +290,7 @@ def top_k(
     pivots = _matrix(pd.Series(picked), width).astype(np.float64)
 
     trees = materialize(plant_trees(points, pivots, block_rows), "trees")
-    asked = points.where(F.col("vec_id") % query_step == 0)
+    asked = points.where((F.col("vec_id") % query_step == 0) & (F.col("vec_id") != LAST_ID))
     query_rows = max(64, block_rows // 8)
     groups = materialize(plant_trees(asked, pivots, query_rows), "queries")
     groups = groups.select(*(F.col(c).alias(f"q_{c}") for c in groups.columns))
@@ -329,7 +330,6 @@ def top_k(
 
     pairs = materialize(far.mapInPandas(promising, "q_block bigint, block bigint"), "pairs")
     others = _search(pairs.join(groups, "q_block").join(trees, "block"), k, bounded=True)
-    last = np.iinfo("int64").max
     place = F.row_number().over(by_query)
     return (
         home.unionByName(others)
@@ -338,7 +338,7 @@ def top_k(
         .select(
             "query_id",
             F.col("rank").cast("int").alias("rank"),
-            F.when(F.col("vec_id") != last, F.col("vec_id")).alias("vec_id"),
+            F.when(F.col("vec_id") != LAST_ID, F.col("vec_id")).alias("vec_id"),
             "score",
         )
     )

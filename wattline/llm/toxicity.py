@@ -9,11 +9,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattline.llm.common import materialize
 
@@ -189,18 +191,20 @@ def learn_lexicon(rows: DataFrame, size: int, min_docs: int, odds: float) -> Lex
 
 
 def with_features(rows: DataFrame, lexicon: Lexicon, *keep: str) -> DataFrame:
-    """Adds a vector of FEATURES to the columns ``keep``."""
-    kept = [rows.schema[c] for c in keep]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    """Adds a vector of FEATURES to the columns ``keep``, which go through as they are."""
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = batch[list(keep)].copy()
-            out["_dense"] = [features(text or "", lexicon) for text in batch["_text"]]
-            yield out
+            *kept, texts = batch.columns
+            dense = [features(text or "", lexicon) for text in texts.to_pylist()]
+            column = pa.array(dense, pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*kept, column], [*keep, "_dense"])
 
     texts = rows.select(*keep, F.col("text").alias("_text"))
-    dense = texts.mapInPandas(extract, f"{schema}, _dense array<double>")
+    schema = T.StructType(
+        [*(rows.schema[c] for c in keep), T.StructField("_dense", T.ArrayType(T.DoubleType()))]
+    )
+    dense = texts.mapInArrow(extract, schema)
     return dense.select(*keep, array_to_vector("_dense").alias("features"))
 
 
