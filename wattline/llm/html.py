@@ -276,7 +276,8 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [_deep_safe(template_marks, html or "") for html in batch.html]
-            yield pd.DataFrame({"_page": batch["_page"], "_host": batch["_host"], "_marks": found})
+            marks = pd.Series(found, index=batch.index, dtype="object")
+            yield pd.DataFrame({"_page": batch["_page"], "_host": batch["_host"], "_marks": marks})
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -292,9 +293,9 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
                 found.append(_deep_safe(work, html or ""))
             yield pd.DataFrame(
                 {
-                    "page_id": batch.page_id,
-                    "url": batch.url,
-                    "text": found,
+                    "page_id": batch.page_id.to_numpy(),
+                    "url": batch.url.to_numpy(),
+                    "text": pd.Series(found, dtype="object"),
                     "n_chars": [len(text) for text in found],
                 }
             )

@@ -160,13 +160,13 @@ def learn_lexicon(rows: DataFrame, size: int, min_docs: int, odds: float) -> Lex
                 words = set(_WORDS.findall(text.lower()))
                 counts[label].update(words)
                 counts[label].update({f"{w[:k]}-" for w in words for k in STEMS if len(w) >= k})
-            terms = [t for t in counts[1.0]]
+            terms = list(counts[0.0] | counts[1.0])
             yield pd.DataFrame(
-                {"term": terms, "ones": [counts[1.0][t] for t in terms], "zeros": 0}
-            )
-            terms = [t for t in counts[0.0]]
-            yield pd.DataFrame(
-                {"term": terms, "ones": 0, "zeros": [counts[0.0][t] for t in terms]}
+                {
+                    "term": pd.Series(terms, dtype="object"),
+                    "ones": [counts[1.0][t] for t in terms],
+                    "zeros": [counts[0.0][t] for t in terms],
+                }
             )
 
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
@@ -197,8 +197,8 @@ def with_features(rows: DataFrame, lexicon: Lexicon, *keep: str) -> DataFrame:
         for batch in batches:
             *kept, texts = batch.columns
             dense = [features(text or "", lexicon) for text in texts.to_pylist()]
-            column = pa.array(dense, pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*kept, column], [*keep, "_dense"])
+            columns = [*kept, pa.array(dense, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "_dense"])
 
     texts = rows.select(*keep, F.col("text").alias("_text"))
     schema = T.StructType(
