@@ -1,0 +1,134 @@
+"""Archives: what is written is read back, and what is damaged is salvaged."""
+
+import gzip
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from odd import clash
+
+from wattline.llm.warc import archived_pages, base32_sha1, read_warc, record_bytes, salvage, write_warc
+
+PAGES = "page_id long, url string, html string"
+DATE = "2024-01-01T00:00:00Z"
+
+
+def record(n, payload=None):
+    payload = f"payload {n}".encode() if payload is None else payload
+    return record_bytes("response", f"<urn:page:{n}:0>", f"http://x/{n}", payload, DATE)
+
+
+def parts(data):
+    found = list(salvage(data))
+    good = [x["record_id"] for _, _, x in found if isinstance(x, dict)]
+    gaps = [(at, size) for at, size, x in found if isinstance(x, str)]
+    return good, gaps
+
+
+def names(*numbers):
+    return [f"<urn:page:{n}:0>" for n in numbers]
+
+
+def member(n):
+    return gzip.compress(record(n), mtime=0)
+
+
+@pytest.mark.parametrize("one", [record, member])
+def test_salvage_after_damage_in_the_middle(one):
+    data = [one(0), one(1), one(2)]
+    broken = bytearray(data[1])
+    broken[len(broken) - 12] ^= 0xFF
+    whole = data[0] + bytes(broken) + data[2]
+    assert parts(whole) == (names(0, 2), [(len(data[0]), len(data[1]))])
+
+
+@pytest.mark.parametrize("one", [record, member])
+def test_salvage_of_garbage_truncation_and_mixed_forms(one):
+    a, b = one(0), one(1)
+    assert parts(b"\0\0junk" + a + b) == (names(0, 1), [(0, 6)])
+    assert parts(a + b[:-9]) == (names(0), [(len(a), len(b) - 9)])
+    assert parts(a[5:] + b) == (names(1), [(0, len(a) - 5)])
+    assert parts(record(7) + member(8) + a) == (names(7, 8, 0), [])
+    assert parts(b"") == ([], [])
+
+
+def test_a_record_inside_a_payload_is_no_record_of_the_archive():
+    inner = record(9)
+    assert parts(record(0, inner) + record(1)) == (names(0, 1), [])
+
+
+def test_stated_lengths_and_digests_are_checked():
+    good = record(1)
+    for old, new in ((b"payload 1", b"payload 2"), (b"Content-Length: ", b"Content-Length: 1"), (b"WARC/1.1", b"WARP/1.1")):
+        assert parts(record(0) + good.replace(old, new) + record(2))[0] == names(0, 2)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 4))
+def test_every_byte_is_a_record_or_in_a_gap(seed, flips):
+    rng = random.Random(seed)
+    pieces = [rng.choice([record, member])(n) for n in range(6)]
+    data = bytearray(b"".join(pieces))
+    for _ in range(flips):
+        data[rng.randrange(len(data))] ^= 1 << rng.randrange(8)
+    at = 0
+    for start, size, _ in salvage(bytes(data)):
+        assert start in (at, at - size)
+        at = start + size
+    assert at == len(data)
+    assert len(parts(bytes(data))[0]) >= 6 - flips
+
+
+def test_archives_on_disk(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(record(0) + b"lost" + record(1))
+    (tmp_path / "b.warc.gz").write_bytes(member(2) + member(3)[:-3])
+    (tmp_path / "c.warc").write_bytes(b"")
+    rows = read_warc(spark, str(tmp_path)).collect()
+    good = sorted(r.record_id for r in rows if r.gap_reason is None)
+    gaps = {(r.file.rpartition("/")[2], r.size) for r in rows if r.gap_reason}
+    assert good == names(0, 1, 2) and gaps == {("a.warc", 4), ("b.warc.gz", len(member(3)) - 3)}
+    assert {bytes(r.payload) for r in rows if r.payload} == {b"payload 0", b"payload 1", b"payload 2"}
+
+
+def round_trip(spark, df, path, **options):
+    write_warc(df, path, **options)
+    return sorted((tuple(r) for r in archived_pages(spark, path).collect()), key=repr)
+
+
+def test_revisits_and_their_least_size(spark, tmp_path):
+    rows = [(3, "u", "same"), (1, "v", "same"), (2, "w", "other"), (4, "x", "é" * 10), (5, "y", "é" * 10)]
+    df = spark.createDataFrame(rows, PAGES)
+    got = {r[0]: (r[1], r[3], r[4]) for r in round_trip(spark, df, str(tmp_path / "a"))}
+    assert got == {
+        1: (4, "response", None), 3: (4, "revisit", 1), 2: (5, "response", None),
+        4: (20, "response", None), 5: (20, "revisit", 4),
+    }
+    got = round_trip(spark, df, str(tmp_path / "b"), least_bytes=5, file_bytes=1)
+    assert [r[0] for r in got if r[3] == "revisit"] == [5]
+    assert len(list((tmp_path / "b").glob("*.warc.gz"))) == 5
+    assert not list((tmp_path / "b" / "_written").iterdir())
+
+
+def test_archives_can_be_read_by_gzip(spark, tmp_path):
+    write_warc(spark.createDataFrame([(1, "u", "a\r\n\r\nb"), (2, "v", "c")], PAGES), str(tmp_path / "a"))
+    text = b"".join(gzip.decompress(p.read_bytes()) for p in (tmp_path / "a").glob("*.warc.gz"))
+    assert text.count(b"WARC/1.1\r\n") == 2
+    assert f"WARC-Payload-Digest: sha1:{base32_sha1(b'c')}".encode() in text
+
+
+def test_odd_pages(spark, tmp_path):
+    long = "<p>é</p>" * 100_000
+    rows = [(1, None, None), (2, "a\r\nWARC-Type: x", ""), (None, "u", long), (None, "u", None), (7, "z", long), (7, "z", long)]
+    got = round_trip(spark, clash(spark.createDataFrame(rows, PAGES)), str(tmp_path / "a"))
+    assert len(got) == 6
+    size = len(long.encode())
+    shown = sorted(((r[0], r[1], r[3], r[4]) for r in got), key=repr)
+    assert shown == sorted(
+        [
+            (1, 0, "response", None), (2, 0, "revisit", 1), (None, 0, "revisit", 1),
+            (7, size, "response", None), (7, size, "revisit", 7), (None, size, "revisit", 7),
+        ],
+        key=repr,
+    )
+    assert round_trip(spark, clash(spark.createDataFrame([], PAGES)), str(tmp_path / "none")) == []
