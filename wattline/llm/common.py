@@ -21,6 +21,8 @@ _PREFILTER = {
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10GB",
 }
 
+BATCH_ROWS = 1_000
+
 #: Stands for a null id inside pandas, which would turn a column with nulls into doubles.
 NO_ID = -(2**63)
 
@@ -34,6 +36,7 @@ __all__ = [
     "ranked",
     "read_table",
     "running_totals",
+    "small_batches",
     "unfilled",
     "word_count",
 ]
@@ -57,6 +60,16 @@ def matching(rows: DataFrame, wanted: DataFrame, key: str, purpose: str) -> Data
             spark.conf.set(name, value)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows that hold whole texts go to Python workers by the thousand, not by ten thousand.
+
+    Spark reads the setting when a plan runs, after the operator has returned, so it stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def filled(column: str) -> Column:
     return F.coalesce(F.col(column).cast("bigint"), F.lit(NO_ID)).alias(column)
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import filled, materialize, unfilled
+from wattline.llm.common import filled, materialize, small_batches, unfilled
 
 # Names of HTML elements by what they mean.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -300,6 +300,7 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
                 }
             )
 
+    small_batches(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z]+://([^/?#]*)", 1))
     # A page is told apart by all it holds, so the two readings need no row numbers that agree.
     own = F.xxhash64("page_id", "url", "html")

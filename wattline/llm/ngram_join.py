@@ -18,12 +18,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import filled, matching, materialize, unfilled
+from wattline.llm.common import filled, matching, materialize, small_batches, unfilled
 from wattline.llm.components import connected_groups
 from wattline.llm.hashing import WordHasher, mix, words_of
 
 #: Documents a task looks at together; their places fit in 16 bits.
-CHUNK_DOCS, CHUNK_CHARS = 4096, 1 << 24
+CHUNK_DOCS, CHUNK_CHARS = 4096, 1 << 22
 NO_OWNER = 65535
 
 
@@ -113,7 +113,7 @@ def shared_counts(docs: DataFrame, total: int, width: int, bucket_tokens: int =
         tokens = np.concatenate([np.frombuffer(x, "<u4") for x in frame["tokens"]])
         offset, owners = 0, []
         for own, known in zip(frame["owners"], keys, strict=True):
-            places = np.frombuffer(own, "<u2").astype(np.int64)
+            places = np.frombuffer(own, "<u2").astype(np.int32)
             owners.append(np.where(places == NO_OWNER, -1, places + offset))
             offset += len(known)
         owners, keys = np.concatenate(owners), np.concatenate(keys)
@@ -122,6 +122,7 @@ def shared_counts(docs: DataFrame, total: int, width: int, bucket_tokens: int =
         same = np.zeros(len(tokens) + 1, dtype=bool)
         same[1:-1] = tokens[1:] == tokens[:-1]
         shared = owners[(same[1:] | same[:-1]) & (owners >= 0)]
+        del tokens, order, same
         counts = np.bincount(shared, minlength=len(keys))
         some = counts > 0
         known = np.concatenate([np.frombuffer(x, "<i8") for x in frame["known"]])
@@ -347,6 +348,7 @@ def similar_documents(docs: DataFrame, width: int = 5, frequent: int = 64) -> Da
     null doc_id is linked like any other, but is a component's id only if no member has one. An
     empty table gives no rows. Other columns play no part.
     """
+    small_batches(docs.sparkSession)
     rows = materialize(set_rows(docs, width), "sets")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key")
     classes = rows.where("n > 0").groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max("n").alias("n"))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm.common import filled, materialize, ranked, unfilled
+from wattline.llm.common import filled, materialize, ranked, small_batches, unfilled
 
 PIECES = "doc_id bigint, copy bigint, doc_tokens bigint, start bigint, length bigint, ids_crc32 bigint"
 
@@ -127,6 +127,7 @@ def pack_documents(
     """
     tokenizer = tokenizer or default_tokenizer()
     spark = docs.sparkSession
+    small_batches(spark)
     pieces = materialize(cut_pieces(docs, tokenizer, size, end_id), "pieces")
     rest = pieces.where(F.col("length") < size)
     counts = {r["length"]: r["count"] for r in rest.groupBy("length").count().collect()}

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import materialize
+from wattline.llm.common import materialize, small_batches
 
 # Words that address the reader, and signs that stand for letters.
 SECOND_PERSON = frozenset(
@@ -192,6 +192,7 @@ def learn_lexicon(rows: DataFrame, size: int, min_docs: int, odds: float) -> Lex
 
 def with_features(rows: DataFrame, lexicon: Lexicon, *keep: str) -> DataFrame:
     """Adds a vector of FEATURES to the columns ``keep``, which go through as they are."""
+    small_batches(rows.sparkSession)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
