@@ -91,3 +91,11 @@ def test_given_pages_against_another_reading(spark):
         parts = re.split(r"</?p>|<br>|</?h1>", re.sub("</?b>", "", body))
         lines = [" ".join(entities.unescape(x).split()) for x in parts]
         assert got[row.page_id] == "\n".join(x for x in lines if x)
+
+
+def test_deep_pages_are_read_like_others():
+    deep = "<header>site</header><article>" + "<span>" * 4000 + "<p>one</p><p>two</p><nav>n</nav>"
+    assert text(deep) == "one\ntwo"
+    assert text("<div>" * 5000 + "deep<p>text") == "deep\ntext"
+    root = parse("<div>" * 5000 + "deep<div>box</div>")
+    assert len(template_marks(root)) == 5001

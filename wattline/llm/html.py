@@ -115,23 +115,30 @@ def _close(stack: list[Element], name: str) -> None:
             return
 
 
+def _elements(root: Element) -> list[Element]:
+    """All elements below one, each before those inside it. No walk here recurses: pages may be deep."""
+    found, stack = [], [root]
+    while stack:
+        inside = [part for part in stack.pop().parts if not isinstance(part, str)]
+        found.extend(inside)
+        stack.extend(inside)
+    return found
+
+
 def hash_subtrees(root: Element) -> None:
     """Marks every block element with the hash of its whole subtree."""
-
-    def visit(element: Element) -> bytes:
+    digests = {}
+    for element in reversed(_elements(root)):
         digest = hashlib.blake2b(digest_size=8)
         digest.update(f"<{element.name}{element.attributes}>".encode("utf-8", "surrogatepass"))
         for part in element.parts:
             if isinstance(part, str):
                 digest.update(" ".join(part.split()).encode("utf-8", "surrogatepass"))
             else:
-                digest.update(visit(part))
-        value = digest.digest()
+                digest.update(digests.pop(id(part)))
+        digests[id(element)] = value = digest.digest()
         if element.name in BLOCKS:
             element.mark = int.from_bytes(value, "little", signed=True)
-        return value
-
-    visit(root)
 
 
 def template_marks(root: Element) -> list[int]:
@@ -141,18 +148,16 @@ def template_marks(root: Element) -> list[int]:
     inside an element that goes by its own name or class needs no hash of its own.
     """
     hash_subtrees(root)
-    found = set()
-
-    def visit(element: Element, in_article: bool) -> None:
+    found, stack = set(), [(root, False)]
+    while stack:
+        element, in_article = stack.pop()
         for part in element.parts:
             if isinstance(part, str):
                 continue
             if part.name in BLOCKS and not _stays(part, in_article):
                 found.add(part.mark)
             if not is_boilerplate(part, in_article):
-                visit(part, in_article or part.name in ARTICLES)
-
-    visit(root, False)
+                stack.append((part, in_article or part.name in ARTICLES))
     return sorted(found)
 
 
@@ -185,31 +190,44 @@ def is_boilerplate(element: Element, in_article: bool) -> bool:
     return hidden or role in NOT_TEXT_ROLES or not NOT_TEXT_NAMES.isdisjoint(names)
 
 
-def _prune(element: Element, templates: frozenset[int], in_article: bool) -> None:
+def _prune(root: Element, templates: frozenset[int]) -> None:
     """Deletes site templates and boilerplate below an element."""
-    kept = []
-    for part in element.parts:
-        if not isinstance(part, str):
-            recurs = part.mark in templates and not _stays(part, in_article)
-            if recurs or is_boilerplate(part, in_article):
-                kept.append(" ")
-                continue
-            _prune(part, templates, in_article or part.name in ARTICLES)
-        kept.append(part)
-    element.parts = kept
-
-
-def _articles(element: Element) -> list[Element]:
-    found = []
-    for part in element.parts:
-        if not isinstance(part, str):
-            found.extend([part] if part.name in ARTICLES else _articles(part))
+    stack = [(root, False)]
+    while stack:
+        element, in_article = stack.pop()
+        kept = []
+        for part in element.parts:
+            if not isinstance(part, str):
+                recurs = part.mark in templates and not _stays(part, in_article)
+                if recurs or is_boilerplate(part, in_article):
+                    kept.append(" ")
+                    continue
+                stack.append((part, in_article or part.name in ARTICLES))
+            kept.append(part)
+        element.parts = kept
+
+
+def _articles(root: Element) -> list[Element]:
+    found, stack = [], [root]
+    while stack:
+        element = stack.pop()
+        if element.name in ARTICLES:
+            found.append(element)
+        else:
+            stack.extend(part for part in reversed(element.parts) if not isinstance(part, str))
     return found
 
 
 def _blocks(element: Element, blocks: list[list[str]]) -> None:
-    for part in element.parts:
-        if isinstance(part, str):
+    stack = [(iter(element.parts), False)]
+    while stack:
+        parts, block = stack[-1]
+        part = next(parts, None)
+        if part is None:
+            stack.pop()
+            if block:
+                blocks.append([])
+        elif isinstance(part, str):
             blocks[-1].append(part)
         elif part.name == "br":
             blocks[-1].append(" ")
@@ -217,14 +235,12 @@ def _blocks(element: Element, blocks: list[list[str]]) -> None:
             block = part.name in BLOCKS
             if block:
                 blocks.append([])
-            _blocks(part, blocks)
-            if block:
-                blocks.append([])
+            stack.append((iter(part.parts), block))
 
 
 def main_text(root: Element, templates: frozenset[int] = frozenset()) -> str:
     """The text that is left of a parsed page; the tree must carry hashes for templates."""
-    _prune(root, templates, False)
+    _prune(root, templates)
     blocks: list[list[str]] = [[]]
     for element in _articles(root) or [root]:
         blocks.append([])
@@ -233,30 +249,6 @@ def main_text(root: Element, templates: frozenset[int] = frozenset()) -> str:
     return "\n".join(text for text in texts if text)
 
 
-def _deep_safe(work, page: str):
-    """Pages nested deeper than Python's stack are flattened: markup goes, all text stays."""
-    try:
-        return work(parse(page))
-    except RecursionError:
-        root = Element("#root")
-        root.parts = [Element("p")]
-        root.parts[0].parts = [part for part in _flat_texts(parse(page))]
-        return work(root)
-
-
-def _flat_texts(root: Element) -> Iterator[str]:
-    stack: list = [iter(root.parts)]
-    while stack:
-        part = next(stack[-1], None)
-        if part is None:
-            stack.pop()
-        elif isinstance(part, str):
-            yield part
-        elif not is_boilerplate(part, True):
-            yield " "
-            stack.append(iter(part.parts))
-
-
 def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
     """The main text of every page, after the templates of its site are deleted.
 
@@ -275,7 +267,7 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [_deep_safe(template_marks, html or "") for html in batch.html]
+            found = [template_marks(parse(html or "")) for html in batch.html]
             marks = pd.Series(found, index=batch.index, dtype="object")
             yield pd.DataFrame({"_page": batch["_page"], "_host": batch["_host"], "_marks": marks})
 
@@ -284,13 +276,10 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
             found = []
             for html, templates in zip(batch.html, batch["_templates"], strict=True):
                 known = frozenset(() if templates is None else map(int, templates))
-
-                def work(root: Element, known=known) -> str:
-                    if known:
-                        hash_subtrees(root)
-                    return main_text(root, known)
-
-                found.append(_deep_safe(work, html or ""))
+                root = parse(html or "")
+                if known:
+                    hash_subtrees(root)
+                found.append(main_text(root, known))
             yield pd.DataFrame(
                 {
                     "page_id": batch.page_id.to_numpy(),
