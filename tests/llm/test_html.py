@@ -99,3 +99,20 @@ def test_deep_pages_are_read_like_others():
     assert text("<div>" * 5000 + "deep<p>text") == "deep\ntext"
     root = parse("<div>" * 5000 + "deep<div>box</div>")
     assert len(template_marks(root)) == 5001
+
+
+def test_copies_of_an_article_keep_their_text(spark):
+    rows = []
+    for i in range(6):
+        rows.append((i, f"http://copies.example/{i}", "<body><div><p>The same page</p></div></body>"))
+        rows.append((10 + i, f"http://art.example/{i}", f"<nav>{i}</nav><article><div>The same text</div></article>"))
+    prose = "<div><p>One article of more than ten words that stands on five of fifty pages</p></div>"
+    menu = "<div><a href='/'>Front page</a></div>"
+    table = "<table><tr><td>7</td></tr></table>"
+    for i in range(60):
+        held = prose if i < 6 else f"<p>Own text number {i}</p>" + (table if i < 11 else "")
+        rows.append((100 + i, f"http://big.example/{i}", f"{menu}{held}<p>{i}</p>"))
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[3] == "The same page" and got[13] == "The same text"
+    assert got[102] == "One article of more than ten words that stands on five of fifty pages\n2"
+    assert got[108] == "Own text number 8\n7\n8" and got[130] == "Own text number 30\n30"

@@ -49,6 +49,8 @@ CLOSED_BY = {
 }
 ARTICLES = frozenset({"article", "main"})
 FRAMES = ARTICLES | {"html", "body"}
+#: Words outside of links from which on a container holds prose: inside an article, and anywhere.
+PROSE, LONG_PROSE = 10, 50
 INLINE_SCOPES = frozenset("table ul ol dl select button object".split())
 
 _TOKEN = re.compile(
@@ -62,10 +64,11 @@ _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 class Element:
     """A node of a page's tree; ``parts`` holds texts and elements in page order."""
 
-    __slots__ = ("attributes", "mark", "name", "parts")
+    __slots__ = ("attributes", "letters", "mark", "name", "parts", "words")
 
     def __init__(self, name: str, attributes: str = ""):
         self.name, self.attributes, self.parts, self.mark = name, attributes, [], 0
+        self.letters = self.words = 0
 
 
 def parse(page: str) -> Element:
@@ -190,21 +193,62 @@ def is_boilerplate(element: Element, in_article: bool) -> bool:
     return hidden or role in NOT_TEXT_ROLES or not NOT_TEXT_NAMES.isdisjoint(names)
 
 
-def _prune(root: Element, templates: frozenset[int]) -> None:
-    """Deletes site templates and boilerplate below an element."""
-    stack = [(root, False)]
+def _measure(root: Element) -> None:
+    """Gives every element its letters, and its words outside of links, boilerplate left out."""
+    order, stack = [], [(root, False)]
+    while stack:
+        element, in_article = stack.pop()
+        order.append(element)
+        stack.extend(
+            (part, in_article or part.name in ARTICLES)
+            for part in element.parts
+            if not isinstance(part, str) and not is_boilerplate(part, in_article)
+        )
+    for element in reversed(order):
+        element.letters = element.words = 0
+        for part in element.parts:
+            if isinstance(part, str):
+                words = part.split()
+                element.letters += sum(map(len, words))
+                element.words += len(words)
+            else:
+                element.letters += part.letters
+                element.words += part.words
+        if element.name == "a":
+            element.words = 0
+
+
+def _prune(
+    root: Element, templates: frozenset[int], usual: frozenset[int]
+) -> list[tuple[bool, int, Element, int, Element]]:
+    """Deletes site templates and boilerplate below an element.
+
+    Containers in an article that hold prose stay, as does one with most of the page's text, unless
+    it is ``usual`` on the site and has little prose. Gives the templates deleted: whether inside
+    an article, letters, parent, place, element.
+    """
+    if templates:
+        _measure(root)
+    deleted, stack = [], [(root, False)]
     while stack:
         element, in_article = stack.pop()
         kept = []
         for part in element.parts:
             if not isinstance(part, str):
-                recurs = part.mark in templates and not _stays(part, in_article)
-                if recurs or is_boilerplate(part, in_article):
+                if is_boilerplate(part, in_article):
                     kept.append(" ")
                     continue
+                if part.mark in templates and not _stays(part, in_article):
+                    prose = in_article and part.words >= PROSE
+                    few = part.mark not in usual or part.words >= LONG_PROSE
+                    if not prose and not (few and 2 * part.letters > root.letters):
+                        deleted.append((in_article, part.letters, element, len(kept), part))
+                        kept.append(" ")
+                        continue
                 stack.append((part, in_article or part.name in ARTICLES))
             kept.append(part)
         element.parts = kept
+    return deleted
 
 
 def _articles(root: Element) -> list[Element]:
@@ -238,9 +282,26 @@ def _blocks(element: Element, blocks: list[list[str]]) -> None:
             stack.append((iter(part.parts), block))
 
 
-def main_text(root: Element, templates: frozenset[int] = frozenset()) -> str:
-    """The text that is left of a parsed page; the tree must carry hashes for templates."""
-    _prune(root, templates)
+def main_text(
+    root: Element, templates: frozenset[int] = frozenset(), usual: frozenset[int] | None = None
+) -> str:
+    """The text that is left of a parsed page; the tree must carry hashes for templates.
+
+    ``usual`` are those of the templates that most pages of the site have; all, if not given. Where
+    nothing is left of a page, it is taken to be a copy, and the largest template is its text.
+    """
+    deleted = _prune(root, templates, templates if usual is None else usual)
+    text = _text(root)
+    if not text and deleted:
+        _, letters, parent, place, element = max(deleted, key=lambda x: x[:2])
+        if letters:
+            _prune(element, frozenset(), frozenset())
+            parent.parts[place] = element
+            text = _text(root)
+    return text
+
+
+def _text(root: Element) -> str:
     blocks: list[list[str]] = [[]]
     for element in _articles(root) or [root]:
         blocks.append([])
@@ -249,12 +310,17 @@ def main_text(root: Element, templates: frozenset[int] = frozenset()) -> str:
     return "\n".join(text for text in texts if text)
 
 
-def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
+def extract_main_text(
+    pages: DataFrame, min_pages: int = 5, min_share: float = 0.1, usual_share: float = 0.5
+) -> DataFrame:
     """The main text of every page, after the templates of its site are deleted.
 
     Adds ``text`` and ``n_chars`` to page_id and url. Every block element is hashed with all below
-    it; hashes are counted per host, once a page; subtrees on ``min_pages`` or more pages of a host
-    are its templates. They go, and so does what its own element, role, class or id marks as menu,
+    it; hashes are counted per host, once a page, pages with equal html as one; subtrees on
+    ``min_pages`` or more pages of a host that are at least ``min_share`` of its pages are its
+    templates. They go, but for containers that hold prose inside ``article`` or ``main``, or most
+    of a page's text (those on ``usual_share`` of the pages only with 50 words of prose), and
+    nothing goes that leaves no text at all. So does what its own element, role, class or id marks as menu,
     header, footer, sidebar, notice, advert, form, script, style or comment. If the rest has
     ``article`` or ``main`` elements, they alone count. Counts combine before the shuffle, and each
     page gets only its own templates back, so neither a host with a third of all pages nor one with
@@ -269,17 +335,18 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
         for batch in batches:
             found = [template_marks(parse(html or "")) for html in batch.html]
             marks = pd.Series(found, index=batch.index, dtype="object")
-            yield pd.DataFrame({"_page": batch["_page"], "_host": batch["_host"], "_marks": marks})
+            yield batch[["_page", "_host", "_content"]].assign(_marks=marks)
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
-            for html, templates in zip(batch.html, batch["_templates"], strict=True):
+            for html, templates, some in zip(batch.html, batch["_templates"], batch["_usual"], strict=True):
                 known = frozenset(() if templates is None else map(int, templates))
+                usual = frozenset(() if some is None else map(int, some))
                 root = parse(html or "")
                 if known:
                     hash_subtrees(root)
-                found.append(main_text(root, known))
+                found.append(main_text(root, known, usual))
             yield pd.DataFrame(
                 {
                     "page_id": batch.page_id.to_numpy(),
@@ -296,17 +363,34 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5) -> DataFrame:
     rows = pages.select("page_id", "url", "html").withColumns(
         {"_page": own, "_host": host, "page_id": filled("page_id")}
     )
-    marks = rows.select("_page", "_host", "html").mapInPandas(
-        hashes, "_page bigint, _host string, _marks array<bigint>"
+    content = F.xxhash64("html").alias("_content")
+    marks = rows.select("_page", "_host", content, "html").mapInPandas(
+        hashes, "_page bigint, _host string, _content bigint, _marks array<bigint>"
+    )
+    marks = materialize(marks.withColumn("_row", F.monotonically_increasing_id()), "marks")
+    # Of pages with equal html one counts.
+    firsts = marks.groupBy("_host", "_content").agg(F.min("_row").alias("_row"))
+    sizes = firsts.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
+    counted = marks.join(firsts.select("_row"), "_row", "left_semi")
+    recurring = (
+        counted.select("_host", F.explode("_marks").alias("_mark"))
+        .groupBy("_host", "_mark")
+        .count()
+        .where(F.col("count") >= min_pages)
+        .join(sizes, "_host")
+        .where(F.col("count") >= F.col("_pages") * F.lit(min_share))
+        .select("_host", "_mark", (F.col("count") >= F.col("_pages") * F.lit(usual_share)).alias("_most"))
     )
-    marks = materialize(marks, "marks").withColumn("_mark", F.explode("_marks")).drop("_marks")
-    recurring = marks.groupBy("_host", "_mark").count().where(F.col("count") >= min_pages).drop("count")
     # The templates of one page, at most as many as it has elements.
     known = (
-        marks.join(recurring, ["_host", "_mark"])
+        marks.select("_page", "_host", F.explode("_marks").alias("_mark"))
+        .join(recurring, ["_host", "_mark"])
         .groupBy("_page")
-        .agg(F.collect_set("_mark").alias("_templates"))
+        .agg(
+            F.collect_set("_mark").alias("_templates"),
+            F.collect_set(F.when(F.col("_most"), F.col("_mark"))).alias("_usual"),
+        )
     )
-    joined = rows.join(known, "_page", "left").select("page_id", "url", "html", "_templates")
+    joined = rows.join(known, "_page", "left").select("page_id", "url", "html", "_templates", "_usual")
     found = joined.mapInPandas(texts, "page_id bigint, url string, text string, n_chars bigint")
     return found.withColumn("page_id", unfilled("page_id"))
