@@ -132,3 +132,24 @@ def test_odd_pages(spark, tmp_path):
         key=repr,
     )
     assert round_trip(spark, clash(spark.createDataFrame([], PAGES)), str(tmp_path / "none")) == []
+
+
+def test_salvage_inside_a_member_of_several_records():
+    rng = random.Random(4)
+    whole = [record(n, rng.randbytes(3000)) for n in range(6)]
+    bad = bytearray(whole[2])
+    bad[-100] ^= 0xFF
+    digest = gzip.compress(b"".join([*whole[:2], bytes(bad), *whole[3:]]), mtime=0)
+    good, gaps = parts(member(8) + digest + member(9))
+    assert good == names(8, 0, 1, 3, 4, 5, 9) and gaps == [(len(member(8)), len(digest))]
+    packed = gzip.compress(b"".join(whole), mtime=0)
+    good, gaps = parts(packed[: len(packed) * 2 // 3])
+    assert good == names(0, 1, 2) and set(gaps) == {(0, len(packed) * 2 // 3)}
+    broken = bytearray(packed)
+    broken[len(packed) // 2] ^= 0xFF
+    good, gaps = parts(bytes(broken) + member(9))
+    assert good[:2] == names(0, 1) and good[-1:] == names(9) and gaps[0] == (0, len(packed))
+    stored = bytearray(gzip.compress(b"".join(whole), 0, mtime=0))
+    stored[len(stored) // 2] ^= 0xFF
+    good, gaps = parts(bytes(stored))
+    assert len(good) == len(set(good)) >= 5 and gaps

@@ -18,6 +18,7 @@ from wattline.llm.common import materialize
 END = b"\r\n\r\n"
 VERSION = b"WARC/1."
 GZIP = b"\x1f\x8b\x08"
+CUT = "gzip member does not end"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORDS = (
     "file string, offset bigint, size bigint, gap_reason string, record_id string,"
@@ -208,24 +209,53 @@ def parse_record(data: bytes, start: int) -> tuple[dict, int]:
     return record, block_end + len(END)
 
 
-def _parse_member(data: bytes, start: int) -> tuple[list[dict], int]:
-    """The records of the gzip member at ``start``, all of them valid, and where it ends."""
-    inflate, parts, end = zlib.decompressobj(31), [], start
+def _inflated(data: bytes, start: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``start`` holds as far as it inflates, where that ends, and any error."""
+    inflate, parts, at, step = zlib.decompressobj(31), [], start, 65536
     try:
-        while not inflate.eof and end < len(data):
-            parts.append(inflate.decompress(data[end : end + 65536]))
-            end += 65536
+        while not inflate.eof and at < len(data):
+            parts.append(inflate.decompress(data[at : at + step]))
+            at += step
     except zlib.error as error:
-        raise Damaged(f"gzip: {error}") from None
-    if not inflate.eof:
-        raise Damaged("gzip member does not end")
-    end = min(end, len(data)) - len(inflate.unused_data)
-    inside = b"".join(parts)
-    records, at = [], 0
-    while at < len(inside):
-        record, at = parse_record(inside, at)
-        records.append(record)
-    return records, end
+        # The same up to the chunk with the error, whose good bytes come one by one.
+        inflate = zlib.decompressobj(31)
+        parts = [inflate.decompress(data[i : i + step]) for i in range(start, at, step)]
+        try:
+            while at < len(data):
+                parts.append(inflate.decompress(data[at : at + 1]))
+                at += 1
+        except zlib.error:
+            pass
+        return b"".join(parts), at, f"gzip: {error}"
+    end = min(at, len(data)) - len(inflate.unused_data)
+    return b"".join(parts), end, "" if inflate.eof else CUT
+
+
+def _inside(content: bytes, error: str) -> list[dict | str]:
+    """The records in a member's content, and a reason for each gap in it.
+
+    Where a member is cut, a record that ends with the last byte there is stays with the gap.
+    """
+    found, at, gap, reason = [], 0, None, ""
+    while at < len(content):
+        try:
+            record, end = parse_record(content, at)
+            if error == CUT and end == len(content):
+                raise Damaged(error)
+        except Damaged as damage:
+            if gap is None:
+                gap, reason = at, str(damage)
+            at = content.find(VERSION, at + 1)
+            at = len(content) if at < 0 else at
+            continue
+        if gap is not None:
+            found.append(f"inflated bytes {gap} to {at}: {reason}")
+            gap = None
+        found.append(record)
+        at = end
+    if gap is not None:
+        found.append(f"inflated bytes {gap} to {at}: {reason}")
+    return [*found, error] if error else found
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
@@ -233,36 +263,51 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
 
     Where the checks of a record fail, the search goes on byte by byte for the next gzip member or
     version line that starts a valid record. Bytes in between are one gap with its first reason.
+    Of a damaged member the valid records in what inflates are kept; the gaps between them have
+    the offset and size of the member, and their reason tells the inflated bytes.
     """
-    at, gap, reason = 0, None, ""
+    at, gap, held, plain_from = 0, None, [], 0
     while at < len(data):
         try:
             if data[at : at + len(GZIP)] == GZIP:
-                records, end = _parse_member(data, at)
+                content, end, error = _inflated(data, at)
+                found = _inside(content, error)
+                if not error and not all(isinstance(x, dict) for x in found):
+                    if not any(isinstance(x, dict) for x in found):
+                        raise Damaged(found[0].partition(": ")[2])
+                elif error:
+                    if any(isinstance(x, dict) for x in found):
+                        if gap is not None:
+                            yield from ((gap, at - gap, x) for x in held)
+                        gap, held = at, found
+                        # What has been inflated is not read again as plain records.
+                        plain_from = end
+                    raise Damaged(error)
             else:
                 record, end = parse_record(data, at)
-                records = [record]
-        except Damaged as error:
+                found = [record]
+        except Damaged as damage:
             if gap is None:
-                gap, reason = at, str(error)
-            found = [x for x in (data.find(VERSION, at + 1), data.find(GZIP, at + 1)) if x >= 0]
-            at = min(found, default=len(data))
+                gap, held = at, [str(damage)]
+            nexts = (data.find(VERSION, max(at + 1, plain_from)), data.find(GZIP, at + 1))
+            at = min((x for x in nexts if x >= 0), default=len(data))
             continue
         if gap is not None:
-            yield gap, at - gap, reason
+            yield from ((gap, at - gap, x) for x in held)
             gap = None
-        for record in records:
-            yield at, end - at, record
+        for x in found:
+            yield at, end - at, x
         at = end
     if gap is not None:
-        yield gap, len(data) - gap, reason
+        yield from ((gap, len(data) - gap, x) for x in held)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Reads archives, plain or with gzip members; one row per record and per quarantined gap.
 
     Rows with a ``gap_reason`` are gaps: ``offset`` and ``size`` say which bytes of the file were
-    not readable. All other rows are records; those of one gzip member share offset and size. A
+    not readable, or of which member the inflated bytes in the reason were not. All other rows are
+    records; those of one gzip member share offset and size. A
     revisit has no payload, its size is that of its HTTP header. A file is read as a whole by one
     task, so archives should be of moderate size, as ``write_warc`` makes them.
 
