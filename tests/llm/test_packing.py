@@ -82,3 +82,20 @@ def test_odd_documents(spark):
     assert pack_documents(exact).columns == [
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
     ]
+
+
+UNALTERED = Tokenizer.from_file(default_tokenizer())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=80) | st.lists(st.sampled_from(["<|endoftext|>", "<|", "|>", "endoftext", "a", " ", "é", "\n"])).map("".join))
+def test_ids_with_added_tokens_are_those_of_the_unaltered_library(text):
+    assert byte_bpe(default_tokenizer()).encode(text, allowed_special="all") == UNALTERED.encode(text, add_special_tokens=False).ids
+
+
+def test_packed_ids_have_added_tokens(spark):
+    text = "a <|endoftext|> b"
+    found = Tokenizer.from_file(default_tokenizer()).encode(text, add_special_tokens=False).ids
+    wanted = np.array([*found, 0], dtype="<u4")
+    row = pack_documents(spark.createDataFrame([(1, text, "en", "s", len(text))], DOCS)).first()
+    assert (row.doc_tokens, row.ids_crc32) == (len(wanted), zlib.crc32(wanted.tobytes()))
