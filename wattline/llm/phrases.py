@@ -187,8 +187,8 @@ class PassageAutomaton:
 def without_passages(texts: DataFrame, owners: DataFrame, window: int) -> DataFrame:
     """The words that stay of each document, chunk by chunk.
 
-    Each chunk's shard is an automaton of the confirmed passages that its documents have; all its
-    documents stream through it.
+    The lookup of each document's windows locates its passages. Each chunk's shard is an automaton
+    of these; all its documents stream through it, which finds the same passages again.
     """
 
     def locate(key: tuple, docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
@@ -236,8 +236,9 @@ def remove_repeated_passages(
     window of ``window`` words which a document with a smaller doc_id has as well, judged on the
     input. Windows that share a seed (see ``seeds``) are compared by 64-bit hashes in buckets, which
     confirms the recurring ones and finds their smallest doc_id. Passages, the maximal runs of such
-    windows, are compiled into Aho-Corasick automata, one per chunk of documents, and every document
-    streams through its chunk's automaton. Documents are dealt to chunks once, as a bucketed table,
+    windows, are located by looking up each document's windows by hash and compiled into Aho-Corasick
+    automata, one per chunk of documents; every document streams through its chunk's automaton, which
+    only finds them again. Documents are dealt to chunks once, as a bucketed table,
     and stay there. What a chunk sends of a passage does not depend on how many of its documents
     have it, so a passage in a third of all documents is one entry per chunk.
 
