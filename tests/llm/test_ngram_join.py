@@ -137,3 +137,11 @@ def test_odd_documents(spark):
     assert kept.columns == odd_docs(spark).columns
     assert {r.doc_id for r in kept.collect()} == {1, 4, 5, 6, 7, 9, 10, 11, 12, None}
     assert kept.where(F.col("doc_id") == 1).count() == 1
+
+
+def test_a_row_repeated_past_two_bytes_keeps_its_links(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = spark.range(65_536).select(F.lit(1).cast("long").alias("doc_id"), F.lit(" ".join(words)).alias("text"))
+    other = spark.createDataFrame([(2, " ".join([*words, "more"]))], "doc_id long, text string")
+    got = similar_documents(rows.unionByName(other)).groupBy("doc_id", "component_id").count().collect()
+    assert {tuple(r) for r in got} == {(1, 1, 65_536), (2, 1, 1)}

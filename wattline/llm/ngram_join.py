@@ -370,7 +370,10 @@ def similar_documents(docs: DataFrame, width: int = 5, frequent: int = 64) -> Da
         open_sets.select("node"),
         "node",
         "texts",
-    ).withColumn("chunk", F.pmod(F.xxhash64("node", F.lit("chunk")), F.lit(chunks)))
+    )
+    # A repeated row has the node of the others; one text a node, or all would land in one chunk.
+    texts = materialize(texts.dropDuplicates(["node"]), "node-texts")
+    texts = texts.withColumn("chunk", F.pmod(F.xxhash64("node", F.lit("chunk")), F.lit(chunks)))
     answers = token_frequencies(texts, size["tokens"] or 0, width)
     buckets = materialize(signed_documents(texts, answers, width, frequent), "signatures")
     details = materialize(bitmaps(texts, width), "bitmaps")
