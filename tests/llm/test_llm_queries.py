@@ -15,7 +15,7 @@ def duck():
 
 
 def test_all_are_registered():
-    assert {q.partition("_")[0] for q in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {q.partition("_")[0] for q in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLES) <= set(oracle_sql())
 

@@ -6,6 +6,7 @@ from wattline.llm.common import read_table
 from wattline.llm.exact_dedup import EXACT_SQL, exact_duplicates
 from wattline.llm.html import extract_main_text
 from wattline.llm.line_dedup import kept_lines
+from wattline.llm.merkle import MERKLE_SQL, verified_manifest
 from wattline.llm.mixing import MIX_SQL, mix_plan
 from wattline.llm.ngram_join import similar_documents
 from wattline.llm.packing import pack_documents
@@ -58,6 +59,10 @@ def op10_packing(spark, folder):
     return pack_documents(read_table(spark, folder, "documents"))
 
 
+def op12_merkle_manifest(spark, folder):
+    return verified_manifest(read_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
@@ -69,6 +74,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLES = {
@@ -77,4 +83,5 @@ ORACLES = {
     "op7_mixing": MIX_SQL,
     "op8_warc": WARC_SQL,
     "op9_substring_dedup": PHRASES_SQL,
+    "op12_merkle_manifest": MERKLE_SQL,
 }
