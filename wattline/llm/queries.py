@@ -10,6 +10,8 @@ from wattline.llm.merkle import MERKLE_SQL, verified_manifest
 from wattline.llm.mixing import MIX_SQL, mix_plan
 from wattline.llm.ngram_join import similar_documents
 from wattline.llm.packing import pack_documents
+from wattline.llm.periodic import run_report
+from wattline.llm.personal_data import personal_data_report
 from wattline.llm.phrases import PHRASES_SQL, remove_repeated_passages
 from wattline.llm.topk import TOPK_SQL, top_k
 from wattline.llm.toxicity import score_toxicity
@@ -59,10 +61,18 @@ def op10_packing(spark, folder):
     return pack_documents(read_table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark, folder):
+    return run_report(read_table(spark, folder, "documents"))
+
+
 def op12_merkle_manifest(spark, folder):
     return verified_manifest(read_table(spark, folder, "documents"))
 
 
+def op13_personal_data(spark, folder):
+    return personal_data_report(read_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
@@ -74,7 +84,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLES = {
