@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import random
 import re
+import zlib
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -124,12 +126,44 @@ def other_spellings(kind: str, value: str) -> list[str]:
     return [f"00{digits}", f"00 {digits[:2]} {digits[2:]}"]
 
 
+def invented(kind: str, rng: random.Random) -> str:
+    """A value of a kind as its pattern finds it, of other shapes than the text at hand may have."""
+    number = partial(rng.randrange, 10)
+    word = lambda: "".join(rng.choices("abcdefghiklmnoprstuvw", k=rng.randrange(2, 9)))
+    if kind == "email":
+        name = rng.choice(["{a}", "{a}.{b}", "{a}{n}", "{a}.{n}", "{a}_{b}", "{a}-{b}", "{a}.{b}{n}"])
+        host = rng.choice(["{a}.com", "{a}.{b}.org", "mail{n}.{a}.com", "{a}-{b}.net", "{a}.co.uk"])
+        name, host = (s.format(a=word(), b=word(), n=rng.randrange(100)) for s in (name, host))
+        return f"{name}@{host}"
+    if kind == "ip":
+        return ".".join(str(rng.randrange(256)) for _ in range(4))
+    if kind == "phone":
+        return f"+1 ({rng.randrange(200, 1000)}) {rng.randrange(200, 1000)}-{rng.randrange(1000, 10000)}"
+    digits = "4" + "".join(str(number()) for _ in range(14))
+    return next(digits + str(i) for i in range(10) if passes_luhn(digits + str(i)))
+
+
+def with_invented(text: str) -> tuple[str, list[Span]]:
+    """A line with a value of some kind put between two of its words."""
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
+    gaps = [m.end() for m in _TOKEN.finditer(text)]
+    kind = rng.choice(KINDS)
+    value, at = invented(kind, rng), rng.choice(gaps)
+    return f"{text[:at]} {value}{text[at:]}", [(kind, at + 1, at + 1 + len(value))]
+
+
 def labelled_lines(text: str) -> Iterator[tuple[str, list[Span]]]:
-    """A line with its spans, and with each of them written in other ways in turn."""
+    """A line with its spans, and with each of them written in other ways in turn.
+
+    A line without any is given once as it is, and then as if a value stood in it.
+    """
     spans = sorted(base_spans(text), key=lambda span: span[1])
     if any(a[2] > b[1] for a, b in zip(spans, spans[1:])):
         return
     yield text, spans
+    if not spans and _TOKEN.search(text):
+        text, spans = with_invented(text)
+        yield text, spans
     ways = [other_spellings(kind, text[start:end]) for kind, start, end in spans]
     for turn in range(max((len(w) for w in ways), default=0)):
         parts, new, at, size = [], [], 0, 0
@@ -146,6 +180,8 @@ def labelled_lines(text: str) -> Iterator[tuple[str, list[Span]]]:
 def labelled_examples(docs: DataFrame, fit_rows: int = 1_500, longest_line: int = 2_000) -> DataFrame:
     """A small table (text, spans) of lines to learn from: what the patterns find, also in other spellings.
 
+    Lines without personal data teach what is none, and once more with an invented value in them.
+
     ``fit_rows`` bounds the lines it starts from, of at most ``longest_line`` characters: those with
     the smallest hashes over all lines of all documents, one with a digit or @ counting for 32
     without. The same documents give the same lines, whatever their order.
