@@ -76,7 +76,7 @@ def test_odd_pages(spark):
     got = sorted((tuple(r) for r in extract_main_text(df).collect()), key=repr)
     assert len(got) == len(rows)
     assert {(r[0], r[2]) for r in got} == {
-        (1, ""), (None, "x"), (2, "\n".join(["y"] * 2000)), (3, "deep text"), (4, "x"),
+        (1, ""), (None, "x"), (2, "\n".join(["y"] * 2000)), (3, "deep\ntext"), (4, "x"),
     }
     assert all(r[3] == len(r[2]) for r in got)
     empty = extract_main_text(clash(spark.createDataFrame([], PAGES)))

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -17,6 +17,10 @@ from wattline.llm.common import filled, materialize, ranked, small_batches, unfi
 PIECES = "doc_id bigint, copy bigint, doc_tokens bigint, start bigint, length bigint, ids_crc32 bigint"
 
 
+#: Runs of white space (as the tokenizer's pattern knows it) that are too long for its matcher.
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
+
+
 def byte_bpe(path: str):
     """An encoder over the vocabulary of a byte-level BPE file; a worker keeps it between tasks.
 
@@ -45,6 +49,28 @@ def byte_bpe(path: str):
     return ENCODINGS[path]
 
 
+def encode(tokenizer, text: str) -> list[int]:
+    """The ids of a text, added tokens included.
+
+    The pattern takes a run of white space but its last sign as one piece, and the whole run at an
+    end, after steps for every sign. Its matcher has room for about a million, so long runs are cut
+    out here, where pieces end anyway.
+    """
+    if not LONG_SPACE.search(text):
+        return tokenizer.encode(text, allowed_special="all")
+    added = "|".join(re.escape(token) for token in sorted(tokenizer.special_tokens_set, key=len, reverse=True))
+    ids: list[int] = []
+    for i, part in enumerate(re.split(f"({added})", text) if added else [text]):
+        start = 0
+        for run in LONG_SPACE.finditer(part) if i % 2 == 0 else ():
+            end = run.end() if run.end() == len(part) else run.end() - 1
+            ids += tokenizer.encode_ordinary(part[start : run.start()])
+            ids += tokenizer._encode_single_piece(part[run.start() : end])
+            start = end
+        ids += tokenizer.encode(part[start:], allowed_special="all")
+    return ids
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -55,11 +81,11 @@ def cut_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataF
     """One row per piece: each document's ids in pieces of ``size``, the last one shorter."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = partial(byte_bpe(tokenizer).encode, allowed_special="all")
+        encoder = byte_bpe(tokenizer)
         for batch in batches:
             rows = []
             for doc_id, copy, text in zip(batch.doc_id, batch.copy_, batch.text, strict=True):
-                ids = np.array([*encode(text or ""), end_id], dtype="<u4")
+                ids = np.array([*encode(encoder, text or ""), end_id], dtype="<u4")
                 for start in range(0, len(ids), size):
                     piece = ids[start : start + size]
                     crc = zlib.crc32(piece.tobytes())
