@@ -43,6 +43,10 @@ def test_white_space_of_ten_million(spark):
     assert pack_documents(docs).agg({"length": "sum"}).first()[0] == 10_000_002
 
 
+def test_lengths_go_into_the_shortest_pack():
+    assert pack_histogram({700: 1, 600: 1, 300: 1}, 1024) == [([600, 300], 1), ([700], 1)]
+
+
 def check(df, texts):
     """All that holds of any packing; gives the number of sequences."""
     rows = df.collect()

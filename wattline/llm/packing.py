@@ -102,8 +102,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataF
 def pack_histogram(counts: dict[int, int], size: int) -> list[tuple[list[int], int]]:
     """Shortest-pack-first: packing patterns (lengths in order) with how often each is used.
 
-    Lengths are placed longest first, into the pack that has the least room left of those with
-    room enough, as many packs at once as there are. Where none has, new packs take as many of
+    Lengths are placed longest first, into the shortest pack, the one with most room left, if it
+    has room enough, as many packs at once as there are. Where none has, new packs take as many of
     this length as they hold. Work and result depend on ``size`` and on
     the number of distinct lengths, not on how many pieces there are.
     """
@@ -111,7 +111,7 @@ def pack_histogram(counts: dict[int, int], size: int) -> list[tuple[list[int], i
     for length in sorted(counts, reverse=True):
         left = counts[length]
         while left:
-            room = next((r for r in range(length, size) if open_packs.get(r)), None)
+            room = next((r for r in range(size - 1, length - 1, -1) if open_packs.get(r)), None)
             if room is None:
                 held = min(size // length, left)
                 open_packs.setdefault(size - held * length, []).append(([length] * held, left // held))
