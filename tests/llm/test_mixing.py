@@ -100,3 +100,20 @@ def test_odd_tables(spark):
     assert mixed_documents(one).columns == docs.columns
     nothing = docs.where("doc_id IN (4, 5, 6)")
     assert [r.taken for r in mix_plan(nothing).collect()] == [0, 0, 0] and mixed_documents(nothing).count() == 0
+
+
+def test_repeated_rows_and_rows_without_id_are_taken_each_for_itself(spark):
+    rows = [(1, "a b c d", "en", "s", 7)] * 4 + [(None, t, "en", "s", len(t)) for t in ("e f", "g h i j", "")]
+    docs = spark.createDataFrame(rows, DOCS)
+    taken = mix_plan(docs).agg(F.sum("taken")).first()[0]
+    mixed = mixed_documents(docs).collect()
+    assert taken == 33 and sum(len(r.text.split()) for r in mixed) == taken
+    copies = sorted(-(-r.taken // r.size) for r in mix_plan(docs).where("taken > 0").collect())
+    assert len(mixed) == sum(copies) <= 12
+
+
+def test_texts_are_read_once(spark):
+    """Everything after the table of sizes works on it."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    plan = mix_plan(docs)._jdf.queryExecution().toString()
+    assert "documents.parquet" not in plan and "text" not in plan

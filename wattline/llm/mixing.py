@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import SPACE, running_totals, word_count
+from wattline.llm.common import SPACE, materialize, running_totals, word_count
 
 
 def source_targets(
@@ -23,7 +23,8 @@ def source_targets(
     shared by weight among the others, until no target is above. With sources in the order of
     cap / weight, the level of the uncapped ones is the largest of (total - caps before) /
     (weights from here on): it rises while sources hit their caps and falls afterwards.
-    The windows span one row per source, never rows of documents.
+    The windows span one row per source, never rows of documents: all sources are compared in one
+    task, which suits some million of them.
     """
     per_source = sizes.groupBy("mix_key").agg(F.sum("size").alias("source_size"))
     turn = F.row_number().over(Window.orderBy(F.col("mix_key").asc_nulls_last())) - 1
@@ -63,15 +64,31 @@ def mix_plan(
 
     Null text has size 0 and takes nothing. A null source is a source, a null doc_id a value.
     Repeated rows are rows of their own; with equal ids the shorter comes first. An empty table
-    gives an empty plan. Other columns of ``docs`` play no part.
+    gives an empty plan. Other columns of ``docs`` play no part. Texts are read once.
     """
+    numbered = docs.withColumn("_mix_row", F.monotonically_increasing_id())
+    return _planned(numbered, weights, ratio, max_repeats, seed).drop("_mix_row")
+
+
+def _planned(
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    ratio: float = 1.5,
+    max_repeats: float = 2.0,
+    seed: str = "mix",
+) -> DataFrame:
+    """The plan with the number ``_mix_row`` that each row of ``docs`` has, which orders equal ones."""
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sizes = docs.select(
-        "doc_id", F.col("source").alias("mix_key"), word_count(F.col("text")).alias("size")
-    )
-    keyed = sizes.withColumn(
-        "key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+        "_mix_row",
+        "doc_id",
+        F.col("source").alias("mix_key"),
+        word_count(F.col("text")).alias("size"),
+        key.alias("key"),
     )
-    placed = running_totals(keyed, ["mix_key"], ["key", "doc_id", "size"], {"size": "before"}, "mix")
+    # Written once: the sizes are summed, sampled for ranges, dealt and placed.
+    sizes = materialize(sizes, "mix-sizes")
+    placed = running_totals(sizes, ["mix_key"], ["key", "doc_id", "size", "_mix_row"], {"size": "before"}, "mix")
     targets = source_targets(sizes, weights, ratio, max_repeats).withColumnRenamed("mix_key", "target_key")
     budget = F.floor("target").cast("bigint")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
@@ -81,6 +98,7 @@ def mix_plan(
         placed.join(targets, F.col("mix_key").eqNullSafe(F.col("target_key")))
         .withColumn("epochs", epochs.cast("bigint"))
         .select(
+            "_mix_row",
             "doc_id",
             "size",
             "source_size",
@@ -95,15 +113,17 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     The last of a document's rows holds only the words taken, joined by one space, if the budget
     ends inside it. Columns are those of ``docs``; ``n_chars``, where there is one, follows the
-    text. Documents of which nothing is taken go. doc_id must be unique in ``docs``.
+    text. Documents of which nothing is taken go. Rows get numbers, which are written with them, so
+    repeated rows and rows without doc_id are taken each for itself.
     """
-    plan = mix_plan(docs, **options).where("taken > 0").select(
-        F.col("doc_id").alias("_mix_id"), F.col("size").alias("_mix_size"), F.col("taken").alias("_mix_taken")
+    numbered = materialize(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-rows")
+    plan = _planned(numbered, **options).where("taken > 0").select(
+        "_mix_row", F.col("size").alias("_mix_size"), F.col("taken").alias("_mix_taken")
     )
     whole = F.floor(F.col("_mix_taken") / F.col("_mix_size"))
     copies = F.ceil(F.col("_mix_taken") / F.col("_mix_size"))
     rows = (
-        docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_mix_id")))
+        numbered.join(plan, "_mix_row")
         .withColumn("_mix_words", F.col("_mix_taken") - whole * F.col("_mix_size"))
         .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
         .withColumn("_mix_cut", (F.col("_mix_copy") == copies) & (F.col("_mix_words") > 0))
