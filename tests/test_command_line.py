@@ -17,3 +17,16 @@ def test_batch_and_follow(spark, tmp_path, capsys):
     assert part.read_text().splitlines()[1] == "2023-10-01 05:00:00,7,8,9,True,7,8,True,True"
     main([str(folder), str(tmp_path / "tier"), "--follow", "--once", *formats])
     assert read_enriched(spark, str(tmp_path / "tier")).first().grid_feedin_total == 8
+
+
+def test_follow_reads_a_rewritten_file_again(spark, tmp_path):
+    source, tier, out = tmp_path / "a.csv", str(tmp_path / "tier"), tmp_path / "out"
+    header = "timestamp;grid_purchase;grid_feedin;direct_consumption\n"
+    source.write_text(header + "2023-10-01 05:00:00;7;8;9\n")
+    follow = [str(source), tier, "--follow", "--once", "--export", str(out), "--single-file"]
+    main(follow)
+    source.write_text(header + "2023-10-01 05:00:00;70;8;9\n2023-10-01 06:00:00;1;1;1\n")
+    main([*follow, "--compact"])
+    (part,) = out.glob("part-*")
+    assert len(part.read_text().splitlines()) == 3
+    assert [r.grid_purchase for r in read_enriched(spark, tier).orderBy("timestamp").collect()] == [70, 1]

@@ -13,8 +13,7 @@ from wattline.operators import daily_peak_hours, first_rows, hourly_rollup, last
 from wattline.plans import materialize
 from wattline.plans.catalog import QUERIES
 from wattline.sources import events_as_readings
-from wattline.streaming import first_within_watermark, typed_rows
-from wattline.streaming.tier import unseen
+from wattline.streaming import first_within_watermark, read_clean, typed_rows, write_batch
 
 
 def plan(df, mode="simple"):
@@ -107,15 +106,12 @@ def test_stream_deduplication_reduces_before_its_shuffle(utc):
     assert "partial_min_by" in text[text.index("Exchange"):]
 
 
-def test_looking_up_earlier_rows_does_not_shuffle_the_batch_again(spark, cleaned):
-    batch = clean_readings(events_as_readings(spark, DATA), ["event_id"])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(unseen(batch, cleaned))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in text and len(shuffles(text)) == 2
-    assert "ReadSchema: struct<timestamp:timestamp_ntz>" in text
+def test_a_tier_without_hidden_rows_is_read_as_it_lies(spark, tmp_path):
+    tier = str(tmp_path / "tier")
+    write_batch(events_as_readings(spark, DATA), tier, 0, ["event_id"])
+    text = plan(read_clean(spark, tier))
+    assert not shuffles(text) and "Join" not in text
+    assert "_place" not in text[text.index("ReadSchema"):]
 
 
 def test_column_pruning_reaches_the_scan(spark):

@@ -1,0 +1,218 @@
+"""A tier that follows files: added, rewritten, touched, removed, late; each time equal to one batch run."""
+
+import itertools
+import os
+import time
+
+import pytest
+from conftest import DATA
+from pyspark.sql import functions as F
+
+from wattline.operators import add_hour_metrics, clean_readings
+from wattline.plans.catalog import stream_late_files
+from wattline.schema import ContractError
+from wattline.sources import events_as_readings, load_readings
+from wattline.streaming import compact, follow, read_clean, read_commits, read_enriched, read_quarantined, refresh
+from wattline.streaming import refresh as refresh_rows
+from wattline.streaming.refresh import checksums
+from wattline.streaming.tier import committed
+
+HEADER = "timestamp;grid_purchase;grid_feedin;direct_consumption"
+
+
+def rows_of(df):
+    columns = sorted(df.columns)
+    return sorted(map(tuple, df.select(*columns).collect()), key=repr)
+
+
+def write(folder, name, *lines):
+    """A file whose time differs from that of its last contents."""
+    folder.mkdir(exist_ok=True)
+    path = folder / name
+    path.write_text("\n".join([HEADER, *lines]) + "\n")
+    write.clock += 2
+    os.utime(path, (write.clock, write.clock))
+
+
+write.clock = time.time() - 10_000
+
+
+def same_as_batch(spark, folder, tier):
+    wanted = clean_readings(load_readings(spark, str(folder)))
+    assert rows_of(read_clean(spark, tier)) == rows_of(wanted)
+    assert rows_of(read_enriched(spark, tier)) == rows_of(add_hour_metrics(wanted))
+
+
+def hours(day, purchase, among=range(24)):
+    return [f"2024-01-{day:02d} {h:02d}:00:00;{purchase + h};1;1" for h in among]
+
+
+def test_a_rewritten_file_is_read_again(spark, tmp_path):
+    """The finding: a file of 2 rows, rewritten with 4, left the tier at 2 rows."""
+    folder, tier = tmp_path / "in", str(tmp_path / "tier")
+    write(folder, "a.csv", *hours(1, 10, range(2)))
+    assert refresh(spark, str(folder), tier)
+    assert read_clean(spark, tier).count() == 2
+    write(folder, "a.csv", *hours(1, 10, range(4)))
+    assert refresh(spark, str(folder), tier)
+    same_as_batch(spark, folder, tier)
+    assert not refresh(spark, str(folder), tier)
+    # Also a single file as the source, and smaller contents.
+    write(folder, "a.csv", *hours(2, 7, range(1)))
+    assert refresh(spark, str(folder / "a.csv"), tier)
+    same_as_batch(spark, folder, tier)
+
+
+def test_what_a_file_hid_shows_again(spark, tmp_path):
+    folder, tier = tmp_path / "in", str(tmp_path / "tier")
+    write(folder, "a.csv", *hours(1, 1000, range(0, 24, 2)), *hours(2, 5000))
+    write(folder, "b.csv", *hours(1, 10), *hours(1, 90), *hours(3, 4))
+    write(folder, "c.csv", *hours(1, 20), *hours(2, 30))
+    refresh(spark, str(folder), tier)
+    same_as_batch(spark, folder, tier)
+    # The highest values of a day go: maxima must fall.
+    write(folder, "a.csv", *hours(1, 1, range(3)))
+    refresh(spark, str(folder), tier)
+    same_as_batch(spark, folder, tier)
+    (folder / "b.csv").unlink()
+    refresh(spark, str(folder), tier)
+    same_as_batch(spark, folder, tier)
+    compact(spark, tier)
+    same_as_batch(spark, folder, tier)
+    (folder / "a.csv").unlink()
+    write(folder, "b.csv", *hours(4, 1))
+    write(folder, "0.csv", *hours(1, 77, range(5)))
+    refresh(spark, str(folder), tier)
+    same_as_batch(spark, folder, tier)
+    compact(spark, tier)
+    same_as_batch(spark, folder, tier)
+    for path in folder.glob("*.csv"):
+        path.unlink()
+    refresh(spark, str(folder), tier)
+    assert read_clean(spark, tier).count() == 0 and read_enriched(spark, tier).count() == 0
+    assert not refresh(spark, str(folder), tier)
+
+
+def test_a_touched_file_is_not_read_again(spark, tmp_path, monkeypatch):
+    folder, tier = tmp_path / "in", str(tmp_path / "tier")
+    write(folder, "a.csv", *hours(1, 10))
+    write(folder, "b.csv", *hours(2, 10))
+    refresh(spark, str(folder), tier)
+    write(folder, "a.csv", *hours(1, 10))
+    read = []
+    module = __import__("wattline.streaming.refresh", fromlist=["refresh"])
+    load = module.load_readings
+    monkeypatch.setattr(module, "load_readings", lambda s, paths, *a, **k: read.append(paths) or load(s, paths, *a, **k))
+    assert refresh_rows(spark, str(folder), tier)
+    assert read == [f"{tier}/none"]
+    same_as_batch(spark, folder, tier)
+    assert not refresh(spark, str(folder), tier)
+    # Of the same size, but other contents.
+    write(folder, "a.csv", *hours(1, 20))
+    assert refresh(spark, str(folder), tier) and len(read[-1]) == 1
+    same_as_batch(spark, folder, tier)
+
+
+def test_checksums_see_the_order_of_lines(spark, tmp_path):
+    folder = tmp_path / "in"
+    lines = [f"line {i}" for i in range(500)]
+    write(folder, "a.csv", *lines)
+    write(folder, "b.csv", *lines)
+    write(folder, "c.csv", *lines[:100], lines[101], lines[100], *lines[102:])
+    write(folder, "d.csv", *lines[:-1], "line 50O")
+    (folder / "e.csv").write_text("")
+    found = {r.file[-5:]: r.checksum for r in checksums(spark, [str(folder)]).collect()}
+    assert found["a.csv"] == found["b.csv"]
+    assert len(set(found.values())) == 3 and set(found) == {"a.csv", "b.csv", "c.csv", "d.csv"}
+
+
+def test_a_failed_refresh_leaves_the_tier_as_it_was(spark, tmp_path, monkeypatch):
+    folder, tier = tmp_path / "in", str(tmp_path / "tier")
+    write(folder, "a.csv", *hours(1, 10))
+    refresh(spark, str(folder), tier)
+    before = rows_of(read_enriched(spark, tier))
+
+    def fail(*_):
+        raise RuntimeError("lost on the way")
+
+    write(folder, "a.csv", *hours(1, 20), *hours(2, 5))
+    for step in ("_met_hours", "_settle", "_write_ledger"):
+        with monkeypatch.context() as patch:
+            patch.setattr(f"wattline.streaming.tier.{step}", fail)
+            with pytest.raises(RuntimeError, match="on the way"):
+                refresh(spark, str(folder), tier)
+        assert rows_of(read_enriched(spark, tier)) == before
+    # What failed had rows of other days than what comes now.
+    write(folder, "a.csv", *hours(3, 20))
+    assert refresh(spark, str(folder), tier)
+    same_as_batch(spark, folder, tier)
+    assert committed(spark, tier).failed == (1, 2, 3)
+    compact(spark, tier)
+    assert committed(spark, tier).failed == ()
+    same_as_batch(spark, folder, tier)
+
+
+def test_malformed_lines_empty_files_and_counts(spark, tmp_path):
+    folder, tier = tmp_path / "in", str(tmp_path / "tier")
+    write(folder, "a.csv", *hours(1, 10, range(3)), "never;1;1;1", "2024-01-01 05:00:00;1;1;1;more")
+    (folder / "empty.csv").write_text("")
+    refresh(spark, str(folder), tier)
+    write(folder, "b.csv", *hours(1, 50, range(4)))
+    refresh(spark, str(folder), tier)
+    assert [r.line for r in read_quarantined(spark, tier).collect()] == ["2024-01-01 05:00:00;1;1;1;more"]
+    commits = sorted(tuple(r) for r in read_commits(spark, tier).select("batch_id", "accepted_count", "quarantined_count", "without_timestamp_count").collect())
+    assert commits == [(0, 3, 1, 1), (1, 1, 0, 0)]
+    compact(spark, tier)
+    assert sorted(tuple(r) for r in read_commits(spark, tier).select("batch_id", "accepted_count", "quarantined_count", "without_timestamp_count").collect()) == commits
+    assert len(list((tmp_path / "tier" / "commits").glob("batch_id=*"))) == 1
+    write(folder, "a.csv", *hours(1, 10, range(3)))
+    refresh(spark, str(folder), tier)
+    assert read_quarantined(spark, tier).count() == 0
+    same_as_batch(spark, folder, tier)
+
+
+@pytest.mark.parametrize("arrivals", sorted(itertools.permutations(range(3))))
+def test_late_files_in_every_order(spark, arrivals):
+    wanted = clean_readings(events_as_readings(spark, DATA), ["event_id"])
+    assert rows_of(stream_late_files(spark, DATA, arrivals)) == rows_of(wanted)
+
+
+def test_names_that_need_escapes(spark, tmp_path):
+    folder, tier = tmp_path / "in put", str(tmp_path / "tier")
+    write(folder, "a b é%20.csv", *hours(1, 10))
+    refresh(spark, str(folder), tier)
+    write(folder, "a b é%20.csv", *hours(1, 11, range(5)))
+    refresh(spark, str(folder), tier)
+    same_as_batch(spark, folder, tier)
+
+
+def test_follow_refreshes_by_a_clock(spark, tmp_path):
+    folder, tier = tmp_path / "in", str(tmp_path / "tier")
+    published = []
+    query = follow(spark, str(folder), tier, every="1 second", after=lambda s: published.append(read_clean(s, tier).count()))
+    try:
+        write(folder, "a.csv", *hours(1, 10, range(2)))
+        wait_until(lambda: published == [2])
+        write(folder, "a.csv", *hours(1, 10, range(4)))
+        wait_until(lambda: published == [2, 4])
+        time.sleep(3)
+        assert published == [2, 4]
+    finally:
+        query.stop()
+    same_as_batch(spark, folder, tier)
+
+
+def wait_until(done, seconds=60):
+    end = time.time() + seconds
+    while not done():
+        assert time.time() < end
+        time.sleep(0.2)
+
+
+def test_a_source_without_its_columns_is_an_error(spark, tmp_path):
+    folder, tier = tmp_path / "in", str(tmp_path / "tier")
+    folder.mkdir()
+    (folder / "a.csv").write_text("a;b\n1;2\n")
+    with pytest.raises(ContractError):
+        refresh(spark, str(folder), tier)
+    assert read_clean(spark, tier).agg(F.count("*")).first()[0] == 0

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from wattline.operators import add_hour_metrics, clean_readings, hourly_rollup
 from wattline.schema import CLEAN_SCHEMA, DAY
 from wattline.sources import events_as_readings, stream_readings
+from wattline.streaming import tier as tier_module
 from wattline.streaming import (
     closed_daily_maxima,
     compact,
@@ -24,7 +25,6 @@ from wattline.streaming import (
     typed_rows,
     write_batch,
 )
-from wattline.streaming.tier import unseen
 
 WITH_ID = T.StructType([*CLEAN_SCHEMA.fields, T.StructField("event_id", T.LongType())])
 
@@ -101,7 +101,7 @@ def test_an_unfinished_batch_is_not_seen(spark, tmp_path, monkeypatch):
         raise RuntimeError("lost between the writes")
 
     with monkeypatch.context() as patch:
-        patch.setattr("wattline.streaming.tier.hourly_rollup", fail)
+        patch.setattr("wattline.streaming.tier._met_hours", fail)
         with pytest.raises(RuntimeError, match="between the writes"):
             write_batch(parts[1], tier, 1, ["event_id"])
     assert list((tmp_path / "tier" / "clean").glob("*/batch_id=1"))
@@ -112,12 +112,71 @@ def test_an_unfinished_batch_is_not_seen(spark, tmp_path, monkeypatch):
     assert rows_of(read_enriched(spark, tier, WITH_ID)) == rows_of(add_hour_metrics(cleaned))
 
 
-def test_a_batch_reads_only_timestamps_of_earlier_rows(spark, tmp_path):
+def test_a_batch_that_meets_nothing_reads_no_earlier_rows(spark, tmp_path, monkeypatch):
+    """Rows of the same hours, but of other seconds: the bitmaps tell, and row files are not looked at."""
+    tier = str(tmp_path / "tier")
+    rows = readings(spark, [(i, f"2024-01-05 10:{i:02d}:00") for i in range(20)])
+    others = readings(spark, [(100 + i, f"2024-01-05 10:{i:02d}:30") for i in range(20)])
+    same = readings(spark, [(50, "2024-01-05 10:07:00"), (51, "2024-01-05 10:08:00.5")])
+    write_batch(rows, tier, 0, ["event_id"])
+    read: list[str] = []
+    look = tier_module._read_days
+    monkeypatch.setattr(tier_module, "_read_days", lambda s, path, *a: read.append(path) or look(s, path, *a))
+    write_batch(others, tier, 1, ["event_id"])
+    assert read == [f"{tier}/rollup"]
+    write_batch(same, tier, 2, ["event_id"])
+    assert f"{tier}/clean" in read
+    raw = rows.unionByName(others).unionByName(same)
+    assert rows_of(read_clean(spark, tier, WITH_ID)) == rows_of(clean_readings(raw, ["event_id"]))
+
+
+def test_rows_that_may_meet_are_compared_by_place_and_timestamp(spark, tmp_path):
     tier = str(tmp_path / "tier")
     write_batch(arrivals(spark)[0], tier, 0, ["event_id"])
-    earlier = spark.read.parquet(f"{tier}/clean")
-    text = unseen(clean_readings(arrivals(spark)[1], ["event_id"]), earlier)._jdf.queryExecution().toString()
-    assert "ReadSchema: struct<timestamp:timestamp_ntz>" in text
+    rows = tier_module._read_days(spark, f"{tier}/clean", [dt.date(2024, 1, 5)], tier_module._stored_schema(spark, tier, WITH_ID))
+    text = rows.select("timestamp", "_place")._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<timestamp:timestamp_ntz,_place:struct<event_id:bigint>>" in text
+    assert "PartitionFilters" in text
+
+
+def readings(spark, rows):
+    columns = ["event_id", "timestamp"]
+    return spark.createDataFrame(rows, columns).select(
+        *columns,
+        F.col("event_id").cast("string").alias("grid_purchase"),
+        F.lit("1").alias("grid_feedin"),
+        F.lit(None).cast("string").alias("direct_consumption"),
+    )
+
+
+def test_fractions_of_a_second(spark, tmp_path):
+    tier = str(tmp_path / "tier")
+    batches = [
+        [(5, "2024-01-05 10:00:00.25"), (6, "2024-01-05 10:00:00.5"), (7, "2024-01-05 10:00:00")],
+        [(1, "2024-01-05 10:00:00.25"), (9, "2024-01-05 10:00:00.5"), (8, "2024-01-05 10:00:00.75")],
+        [(2, "2024-01-05 10:00:00"), (0, "2024-01-05 10:00:00.25")],
+    ]
+    for number, rows in enumerate(batches):
+        write_batch(readings(spark, rows), tier, number, ["event_id"])
+    raw = readings(spark, [row for rows in batches for row in rows])
+    cleaned = clean_readings(raw, ["event_id"])
+    assert rows_of(read_enriched(spark, tier, WITH_ID)) == rows_of(add_hour_metrics(cleaned))
+
+
+@pytest.mark.parametrize("order", [(2, 1, 0), (1, 2, 0), (0, 2, 1), (2, 0, 1)])
+def test_the_first_row_counts_whatever_the_arrival(spark, tmp_path, order):
+    """By place, not by arrival; also after compactions at any point."""
+    tier = str(tmp_path / "tier")
+    parts = arrivals(spark)
+    for number, part in enumerate(order):
+        write_batch(parts[part], tier, number, ["event_id"])
+        if number == order[0] % 2:
+            compact(spark, tier, WITH_ID)
+    cleaned = clean_readings(events_as_readings(spark, DATA), ["event_id"])
+    assert rows_of(read_enriched(spark, tier, WITH_ID)) == rows_of(add_hour_metrics(cleaned))
+    compact(spark, tier, WITH_ID)
+    assert rows_of(read_enriched(spark, tier, WITH_ID)) == rows_of(add_hour_metrics(cleaned))
+    assert not list((tmp_path / "tier" / "hidden").glob("*/batch_id=[0-9]*"))
 
 
 def test_compaction_changes_no_result_and_leaves_one_part_a_day(spark, tmp_path):

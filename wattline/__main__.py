@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import argparse
-import time
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from wattline.plans import run
-from wattline.schema import ContractError
 from wattline.session import build_session
-from wattline.sources import export_readings, header_columns, stream_readings
-from wattline.streaming import compact, ingest, read_enriched
+from wattline.sources import export_readings
+from wattline.streaming import compact, read_enriched, refresh
+from wattline.streaming import follow as refresh_again
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -29,28 +27,17 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--missing", choices=["error", "empty"], default="error", help="what an absent source is")
     parser.add_argument("--work", help="shared folder for intermediate tables, which go after the run")
     parser.add_argument("--input-bytes", type=int, help="size of the source, in place of its listing")
-    parser.add_argument("--follow", action="store_true", help="keep a tier up to date as files arrive")
+    parser.add_argument("--follow", action="store_true", help="keep a tier up to date as files arrive, change and go")
     parser.add_argument("--every", default="5 minutes", help="refresh period of --follow")
-    parser.add_argument("--columns", help="with --follow: header names, if no file is there yet to read them from")
+    parser.add_argument("--columns", help="with --follow: header names, to save reading them")
     parser.add_argument("--export", help="with --follow: folder that gets the enriched tier after every batch")
     parser.add_argument("--compact", action="store_true", help="with --follow --once: merge the tier's parts at the end")
-    parser.add_argument("--once", action="store_true", help="with --follow: process new files, then stop")
+    parser.add_argument("--once", action="store_true", help="with --follow: refresh once, then stop")
     return parser.parse_args(arguments)
 
 
 def follow(spark: SparkSession, options: argparse.Namespace) -> None:
-    """Keep a tier, and a result if one is named, up to date; waits for the first file."""
-    columns = options.columns.split(options.sep) if options.columns else None
-    while columns is None:
-        try:
-            columns = header_columns(spark, options.source, options.sep)
-        except (AnalysisException, ContractError):
-            if options.once:
-                return
-            time.sleep(5)
-    stream = stream_readings(
-        spark, options.source, columns, options.sep, strict=options.strict, quarantine=True
-    )
+    """Keep a tier, and a result if one is named, up to date with the files that are there."""
 
     def publish(session: SparkSession) -> None:
         export_readings(
@@ -62,11 +49,20 @@ def follow(spark: SparkSession, options: argparse.Namespace) -> None:
             single_file=options.single_file,
         )
 
-    every = None if options.once else options.every
-    after = publish if options.export else None
-    ingest(
-        stream, options.target, formats=options.formats, every=every, after=after
-    ).awaitTermination()
+    settings = {
+        "formats": options.formats,
+        "columns": options.columns.split(options.sep) if options.columns else None,
+        "strict": options.strict,
+    }
+    if options.once:
+        if refresh(spark, options.source, options.target, options.sep, **settings) and options.export:
+            publish(spark)
+    else:
+        after = publish if options.export else None
+        query = refresh_again(
+            spark, options.source, options.target, options.sep, every=options.every, after=after, **settings
+        )
+        query.awaitTermination()
     if options.compact:
         compact(spark, options.target)
 

@@ -57,14 +57,16 @@ def drop_missing_timestamps(df: DataFrame) -> DataFrame:
     return df.dropna(subset=[TIMESTAMP])
 
 
-def keep_first_per_timestamp(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """One row per timestamp: the first by ``order_by``, which must be a total order.
+def keep_first_per_timestamp(
+    df: DataFrame, order_by: Sequence[str], within: Sequence[str] = ()
+) -> DataFrame:
+    """One row per timestamp (and value of ``within``): the first by ``order_by``, a total order.
 
     The rank filter lets every task keep its own first row per timestamp before the shuffle,
     so a timestamp that holds a large share of all rows arrives as one row per task. The
     shuffle is by timestamp, not by day: a day that is large stays spread over the cluster.
     """
-    rank = F.row_number().over(Window.partitionBy(TIMESTAMP).orderBy(*order_by))
+    rank = F.row_number().over(Window.partitionBy(TIMESTAMP, *within).orderBy(*order_by))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
@@ -82,12 +84,14 @@ def clean_readings(
     order_by: Sequence[str] = (READ_ORDER,),
     formats: Iterable[str] = (),
     metrics: Observation | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Raw readings to cleaned readings; unknown columns pass through.
 
     ``order_by`` says which of several rows with one timestamp comes first. Tables loaded
     with ``load_readings`` carry it; for others name columns with a natural sequence, which
-    are kept. The order of steps matters: test rows go first, so they neither turn into
+    are kept. ``within`` names what a first row is looked for in besides its timestamp, as the file
+    it came from. The order of steps matters: test rows go first, so they neither turn into
     zeros nor shadow a real row with their timestamp. ``metrics`` receives
     ``without_timestamp_count``, the rows dropped because their timestamp is missing, unreadable
     or out of range; as with every observation only an action over all rows counts them all.
@@ -105,7 +109,7 @@ def clean_readings(
         typed = typed.observe(metrics, dropped)
     return (
         typed.transform(drop_missing_timestamps)
-        .transform(keep_first_per_timestamp, order_by)
+        .transform(keep_first_per_timestamp, order_by, within)
         .transform(flag_consumption)
         .transform(timestamp_first)
         .drop(READ_ORDER)

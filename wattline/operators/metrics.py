@@ -9,7 +9,7 @@ accepts no timestamp outside that range.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.functions import calendar_day, hour_of_day
@@ -32,10 +32,14 @@ DAILY_MAXIMA = {c: f"max_{c}" for c in GRID_MEASURES}
 def hourly_rollup(cleaned: DataFrame) -> DataFrame:
     """Sum and maximum of each grid measure per calendar day and hour."""
     ts = F.col(TIMESTAMP)
-    return cleaned.groupBy(calendar_day(ts).alias(DAY), hour_of_day(ts).alias(HOUR)).agg(
+    return cleaned.groupBy(calendar_day(ts).alias(DAY), hour_of_day(ts).alias(HOUR)).agg(*rollup_measures())
+
+
+def rollup_measures() -> list[Column]:
+    return [
         *[F.sum(c).alias(TOTALS[c]) for c in GRID_MEASURES],
         *[F.max(c).alias(DAILY_MAXIMA[c]) for c in GRID_MEASURES],
-    )
+    ]
 
 
 def totals_by_hour(rollup: DataFrame) -> DataFrame:

@@ -46,6 +46,7 @@ from wattline.schema import (
     ENRICHED_SCHEMA,
     NUMERIC_COLUMNS,
     PEAK_FLAGS,
+    PURCHASE,
     TIMESTAMP,
 )
 from wattline.session import stateful_settings, work_folder
@@ -58,8 +59,10 @@ from wattline.sources import (
     read_events,
     read_export,
     read_quarantine,
+    stream_readings,
 )
 from wattline.sources.delimited import text_options
+from wattline.sources.files import remove
 from wattline.sources.tables import EVENT_ID, messy_readings, write_messy_files
 from wattline.streaming import (
     closed_daily_maxima,
@@ -67,6 +70,7 @@ from wattline.streaming import (
     ingest,
     read_clean,
     read_enriched,
+    refresh,
     running_hour_totals,
     typed_rows,
 )
@@ -75,6 +79,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 ORDER = [EVENT_ID]
 WATERMARK = "10 minutes"
+#: Into how many stores the 24 keys of the running totals go, and the open days and minutes of the maxima.
+HOUR_TOTALS_PARTITIONS, DAILY_MAXIMA_PARTITIONS = 2, 8
 ARRIVALS = 3
 
 _ID = T.StructField(EVENT_ID, T.LongType())
@@ -325,10 +331,74 @@ def stream_export(spark, folder):
     return read_export(spark, target, schema=schema)
 
 
+#: The readings of files: the sequence is text like every column.
+_TEXT_ID = T.StructType([*CLEAN_SCHEMA.fields, T.StructField(EVENT_ID, T.StringType())])
+
+
+def _file_parts(raw: DataFrame) -> list[DataFrame]:
+    """The readings cut into parts by their sequence."""
+    first, last = raw.agg(F.min(EVENT_ID), F.max(EVENT_ID)).first()
+    step = (last - first) // ARRIVALS + 1
+    return [raw.where(F.col(EVENT_ID).between(s, s + step - 1)) for s in range(first, last + 1, step)]
+
+
+def _write_part(rows: DataFrame, path: str) -> None:
+    rows.orderBy(*ORDER).write.mode("overwrite").options(**text_options(";")).csv(path)
+
+
+def _clean_of_files(spark: SparkSession, tier: str) -> DataFrame:
+    return read_clean(spark, tier, _TEXT_ID).withColumn(EVENT_ID, F.col(EVENT_ID).cast("bigint"))
+
+
+def stream_late_files(spark, folder, arrivals=(2, 0, 1)):
+    """Files that arrive out of order: of rows with one timestamp the first by file name counts all the same."""
+    tier, feed = work_folder(spark, "tier"), work_folder(spark, "feed")
+    raw = raw_readings(spark, folder)
+    parts = _file_parts(raw)
+    for number in arrivals:
+        _write_part(parts[number], f"{feed}/part-{number}")
+        ingest(stream_readings(spark, f"{feed}/*", raw.columns), tier, every=None).awaitTermination()
+    return _clean_of_files(spark, tier)
+
+
+def _rewritten_tier(spark, folder) -> str:
+    """A tier whose files were, at first, in part others.
+
+    An extra file that comes first has a row for every third timestamp, and the second file has other values and some of the
+    third one's rows. Then the extra file goes, the second is rewritten and the third is written
+    once more as it was.
+    """
+    tier, feed = work_folder(spark, "tier"), work_folder(spark, "feed")
+    raw = raw_readings(spark, folder)
+    parts = _file_parts(raw)
+    other = raw.withColumn(PURCHASE, F.lit("999999"))
+    _write_part(other.where(F.col(EVENT_ID) % 3 == 0), f"{feed}/extra")
+    for number, rows in enumerate(parts):
+        first = other.where(F.col(EVENT_ID) % 2 == 0).join(rows.select(EVENT_ID), EVENT_ID, "left_anti")
+        _write_part(first if number == 1 else rows, f"{feed}/part-{number}")
+    refresh(spark, f"{feed}/*", tier)
+    remove(spark, f"{feed}/extra")
+    for number in (1, 2):
+        _write_part(parts[number], f"{feed}/part-{number}")
+    refresh(spark, f"{feed}/*", tier)
+    return tier
+
+
+def stream_rewritten_file(spark, folder):
+    """A tier after one of its files was rewritten and one removed: as if only the last contents had been there."""
+    return _clean_of_files(spark, _rewritten_tier(spark, folder))
+
+
+def stream_rewritten_metrics(spark, folder):
+    """Totals and peak flags of that tier."""
+    enriched = read_enriched(spark, _rewritten_tier(spark, folder), _TEXT_ID)
+    return enriched.withColumn(EVENT_ID, F.col(EVENT_ID).cast("bigint"))
+
+
 def stream_hour_totals(spark, folder):
     """Totals over all typed rows, duplicates included."""
     out, checkpoint = work_folder(spark, "totals"), work_folder(spark, "checkpoint")
-    with stateful_settings(spark):
+    with stateful_settings(spark, HOUR_TOTALS_PARTITIONS):
         for stream in _arrivals(raw_readings(spark, folder), work_folder(spark, "feed")):
             (
                 running_hour_totals(typed_rows(stream))
@@ -346,7 +416,7 @@ def stream_daily_maxima(spark, folder):
     """Maxima of the days the watermark has closed; a day still open is not given out."""
     out, checkpoint = work_folder(spark, "maxima"), work_folder(spark, "checkpoint")
     raw = as_readings(read_events(spark, folder), to_the_minute=False)
-    with stateful_settings(spark):
+    with stateful_settings(spark, DAILY_MAXIMA_PARTITIONS):
         for stream in _arrivals(raw, work_folder(spark, "feed")):
             unique = first_within_watermark(typed_rows(stream), WATERMARK, ORDER)
             (
@@ -402,6 +472,9 @@ QUERIES: dict[str, Query] = {
     "stream_clean_readings": stream_clean_readings,
     "stream_metrics": stream_metrics,
     "stream_export": stream_export,
+    "stream_late_files": stream_late_files,
+    "stream_rewritten_file": stream_rewritten_file,
+    "stream_rewritten_metrics": stream_rewritten_metrics,
     "stream_hour_totals": stream_hour_totals,
     "stream_daily_maxima": stream_daily_maxima,
 }

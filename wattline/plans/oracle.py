@@ -293,6 +293,9 @@ ORACLES: dict[str, str] = {
     "stream_clean_readings": _CLEAN_ROWS,
     "stream_metrics": _ENRICHED_ROWS,
     "stream_export": _ENRICHED_ROWS,
+    "stream_late_files": _CLEAN_ROWS,
+    "stream_rewritten_file": _CLEAN_ROWS,
+    "stream_rewritten_metrics": _ENRICHED_ROWS,
     "stream_hour_totals": _with(
         _RAW, _TYPED, _TOTALS.replace("FROM clean", "FROM typed"), select="SELECT * FROM totals"
     ),

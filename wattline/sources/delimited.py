@@ -87,6 +87,7 @@ def load_readings(
     missing: str = "error",
     strict: bool = False,
     multiline: bool = False,
+    quarantine: bool = False,
     metrics: Observation | None = None,
 ) -> DataFrame:
     """Load raw readings as text columns plus the internal order column.
@@ -96,7 +97,8 @@ def load_readings(
     can be read with ``read_quarantine``; ``strict=True`` fails the job on the first of them
     instead. ``multiline=True`` reads quoted line breaks; such files cannot be split, so one task
     reads each of them. An absent path raises, or gives an empty table of the contract's columns
-    with ``missing="empty"``; so does a file without any line. ``metrics`` receives ``row_count``
+    with ``missing="empty"``; so does a file without any line. With ``quarantine`` malformed lines
+    stay, marked in the column ``QUARANTINED``. ``metrics`` receives ``row_count``
     and ``quarantined_count`` with the first action, which must be one over all rows. Naming the
     header's ``columns`` saves reading it. All files must have the same header; where a name in
     it is blank or repeated, only the number of columns is the same by contract, not checked.
@@ -121,7 +123,7 @@ def load_readings(
             F.count_if(~F.col(_MALFORMED)).alias("row_count"),
             F.count_if(_MALFORMED).alias("quarantined_count"),
         )
-    return _accepted(lines, columns, strict)
+    return _accepted(lines, columns, strict, quarantine)
 
 
 def stream_readings(

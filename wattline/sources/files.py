@@ -47,6 +47,12 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(at, True)
 
 
+def create_marker(spark: SparkSession, path: str) -> None:
+    """An empty file, which also object stores show."""
+    system, at = _path(spark, path)
+    system.create(at, True).close()
+
+
 def beside(path: str, purpose: str) -> str:
     """A new name in the folder of ``path``, hidden from Spark's readers."""
     folder, _, name = path.rstrip("/").rpartition("/")

@@ -6,6 +6,7 @@ from wattline.streaming.continuous import (
     running_hour_totals,
     typed_rows,
 )
+from wattline.streaming.refresh import follow, refresh
 from wattline.streaming.tier import (
     compact,
     ingest,
@@ -21,12 +22,14 @@ __all__ = [
     "closed_daily_maxima",
     "compact",
     "first_within_watermark",
+    "follow",
     "ingest",
     "read_clean",
     "read_commits",
     "read_enriched",
     "read_quarantined",
     "read_rollup",
+    "refresh",
     "running_hour_totals",
     "typed_rows",
     "write_batch",
