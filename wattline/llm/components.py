@@ -49,6 +49,7 @@ def connected_groups(
     details: DataFrame | None = None,
     near: Fits | None = None,
     pairs_up_to: int = 0,
+    written: bool = False,
 ) -> DataFrame:
     """(node, component) of the graph of verified pairs that share a bucket; linked nodes only.
 
@@ -61,19 +62,22 @@ def connected_groups(
     their number follows what the hubs have left over. ``near`` may rule out pairs that cannot be
     links, by the column detail of ``details`` (node, detail), before they are written out.
     Buckets of at most ``pairs_up_to`` members skip all this: their pairs are written out at once,
-    no more than half that number for each of their rows.
+    no more than half that number for each of their rows. With ``written`` the buckets are cheap to
+    make again from a written table, and only those that are shared are written.
     """
-    buckets = materialize(buckets, "buckets")
+    if not written:
+        buckets = materialize(buckets, "buckets")
     shared = buckets.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     buckets = matching(buckets, shared, "signature", "shared")
     labels: DataFrame | None = None
     tried: DataFrame | None = None
     if pairs_up_to:
-        few = buckets.where(F.col("members") <= pairs_up_to).drop("members")
-        others = few.select(*(F.col(c).alias(f"{c}_2") for c in few.columns))
-        met = (F.col("signature") == F.col("signature_2")) & (F.col("node") < F.col("node_2"))
-        pairs = few.join(others, met & fits(F.col("info"), F.col("info_2")))
-        pairs = pairs.select(F.col("node").alias("a"), F.col("node_2").alias("b")).distinct()
+        few = buckets.where(F.col("members") <= pairs_up_to)
+        together = few.groupBy("signature").agg(F.sort_array(F.collect_list(F.struct("node", "info"))).alias("all"))
+        each = together.select("all", F.posexplode("all").alias("i", "one"))
+        pairs = each.select("one", F.explode(F.slice("all", 1, F.col("i"))).alias("other"))
+        pairs = pairs.where((F.col("other.node") < F.col("one.node")) & fits(F.col("other.info"), F.col("one.info")))
+        pairs = pairs.select(F.col("other.node").alias("a"), F.col("one.node").alias("b")).distinct()
         tried = materialize(pairs, "few-pairs")
         labels = connected(verify(tried))
         buckets = buckets.where(F.col("members") > pairs_up_to)
