@@ -49,7 +49,7 @@ def connected_groups(
     details: DataFrame | None = None,
     near: Fits | None = None,
     pairs_up_to: int = 0,
-    written: bool = False,
+    counted: bool = False,
 ) -> DataFrame:
     """(node, component) of the graph of verified pairs that share a bucket; linked nodes only.
 
@@ -62,13 +62,13 @@ def connected_groups(
     their number follows what the hubs have left over. ``near`` may rule out pairs that cannot be
     links, by the column detail of ``details`` (node, detail), before they are written out.
     Buckets of at most ``pairs_up_to`` members skip all this: their pairs are written out at once,
-    no more than half that number for each of their rows. With ``written`` the buckets are cheap to
-    make again from a written table, and only those that are shared are written.
+    no more than half that number for each of their rows. With ``counted`` the buckets
+    are a written table of shared ones alone, with their number of ``members``.
     """
-    if not written:
+    if not counted:
         buckets = materialize(buckets, "buckets")
-    shared = buckets.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    buckets = matching(buckets, shared, "signature", "shared")
+        shared = buckets.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+        buckets = matching(buckets, shared, "signature", "shared")
     labels: DataFrame | None = None
     tried: DataFrame | None = None
     if pairs_up_to:
