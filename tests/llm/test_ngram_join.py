@@ -145,3 +145,11 @@ def test_a_row_repeated_past_two_bytes_keeps_its_links(spark):
     other = spark.createDataFrame([(2, " ".join([*words, "more"]))], "doc_id long, text string")
     got = similar_documents(rows.unionByName(other)).groupBy("doc_id", "component_id").count().collect()
     assert {tuple(r) for r in got} == {(1, 1, 65_536), (2, 1, 1)}
+
+
+def test_words_of_regular_structure_are_told_apart(spark):
+    s, t = "a", "b"
+    for _ in range(10):
+        s, t = s + t, t + s
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in enumerate((s, t, s.upper()))], DOCS)
+    assert {r.doc_id: r.component_id for r in similar_documents(docs).collect()} == {0: 0, 1: 1, 2: 0}

@@ -88,3 +88,18 @@ def test_odd_documents(spark):
     assert answers(got) == by_force([(r[0], r[1]) for r in odd_rows()])
     assert remove_repeated_passages(no_docs(spark)).count() == 0
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("llm_chunks")]
+
+
+def structured_words():
+    """Two words of 1,024 letters that polynomials modulo 2^64 over their letters cannot tell apart."""
+    s, t = "a", "b"
+    for _ in range(10):
+        s, t = s + t, t + s
+    return s, t
+
+
+def test_words_of_regular_structure_are_told_apart(spark):
+    s, t = structured_words()
+    texts = [(1, " ".join([s] * 13)), (2, " ".join([t] * 13)), (3, f"x {' '.join([s] * 13)}")]
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in texts], DOCS)
+    assert {r.doc_id: r.n_removed for r in remove_repeated_passages(docs).collect()} == {1: 0, 2: 0, 3: 13}

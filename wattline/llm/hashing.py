@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -18,20 +19,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHasher:
-    """64-bit hashes of word runs by prefix sums of a polynomial over the bytes of a text.
+    """64-bit hashes of word runs: a polynomial over hashes of the words, by prefix sums.
 
-    The hash of any run comes from two prefix sums, so all runs of a text cost a few array steps.
+    Each word is hashed by itself first, so that no structure of its letters carries over. The hash
+    of any run then comes from two prefix sums: all runs of a text cost a few array steps.
     """
 
     def __init__(self) -> None:
-        self.values = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(_ODD))
         self.powers = np.ones(1, dtype=np.uint64)
         self.inverses = np.ones(1, dtype=np.uint64)
 
     def _grow(self, size: int) -> None:
         if len(self.powers) >= size:
             return
-        size = max(size, 2 * len(self.powers), 1 << 16)
+        size = max(size, 2 * len(self.powers), 1 << 12)
         steps = np.full(size, _ODD, dtype=np.uint64)
         steps[0] = 1
         self.powers = np.cumprod(steps, dtype=np.uint64)
@@ -43,14 +44,11 @@ class WordHasher:
         count = len(words) - length + 1
         if count <= 0:
             return np.empty(0, dtype=np.uint64)
-        text = np.frombuffer(b" ".join(words), dtype=np.uint8)
-        self._grow(len(text) + 1)
-        sums = np.zeros(len(text) + 1, dtype=np.uint64)
-        np.cumsum(self.values[text] * self.powers[: len(text)], out=sums[1:])
-        spaces = np.flatnonzero(text == 32)
-        starts = np.concatenate(([0], spaces + 1))[:count]
-        ends = np.concatenate((spaces, [len(text)]))[length - 1 :]
-        return mix((sums[ends] - sums[starts]) * self.inverses[starts])
+        self._grow(len(words) + 1)
+        values = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+        sums = np.zeros(len(words) + 1, dtype=np.uint64)
+        np.cumsum(values * self.powers[: len(words)], out=sums[1:])
+        return mix((sums[length:] - sums[:count]) * self.inverses[:count])
 
 
 def words_of(text: str | None, lower: bool = False) -> list[bytes]:
