@@ -2,6 +2,7 @@
 
 import html as entities
 import re
+import time
 
 import pytest
 from conftest import DATA
@@ -116,3 +117,38 @@ def test_copies_of_an_article_keep_their_text(spark):
     assert got[3] == "The same page" and got[13] == "The same text"
     assert got[102] == "One article of more than ten words that stands on five of fifty pages\n2"
     assert got[108] == "Own text number 8\n7\n8" and got[130] == "Own text number 30\n30"
+
+
+@pytest.mark.parametrize(
+    "html, wanted",
+    [
+        ('<div class="layout has-sidebar"><p>Text of it</p></div>', "Text of it"),
+        ('<article><div class="post with-comments"><p>Text of it</p></div></article>', "Text of it"),
+        ('<section id="toc-and-content" class="share-enabled"><p>Text of it</p></section>', "Text of it"),
+        ('<article><div class="article-header"><h1>Title</h1></div><p>Text</p></article>', "Title\nText"),
+        ('<div class="article-header"><h1>Title</h1></div><p>Text</p>', "Title\nText"),
+        ('<article><div class="related-work"><p>Others did so</p></div></article>', "Others did so"),
+        ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>", "So x=2 holds"),
+        ('<article><p>Text</p><article class="comment"><p>First!</p></article></article>', "Text"),
+        ('<main><p>Text</p></main><article class="user-comment reply"><p>First!</p></article>', "Text"),
+        ('<article><p>Text</p><div class="comment-list"><p>First!</p></div></article>', "Text"),
+        ('<div class="sidebar-left">x</div><div id="main-menu">y</div><p>Text</p>', "Text"),
+        ('<div class="site-header">Site</div><div class="ads-1">Buy</div><p>Text</p>', "Text"),
+    ],
+)
+def test_class_words_are_weighed(html, wanted):
+    assert main_text(parse(html)) == wanted
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<a " * 350_000, "<b>" * 100_000 + "</i>" * 100_000, "<i><div>" + "<b>" * 50_000 + "</i>" * 50_000,
+        "<b>" * 50_000 + "<div></div>" * 50_000, "<!" * 300_000, "<a '" * 200_000, "<script>" + "</script " * 100_000,
+        "<p><b>" * 50_000 + "</p>" * 50_000,
+    ],
+)
+def test_broken_markup_takes_linear_time(html):
+    start = time.time()
+    main_text(parse(html))
+    assert time.time() - start < 3

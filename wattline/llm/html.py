@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,7 +24,7 @@ BLOCKS = frozenset(
 )
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th caption figcaption".split())
 NOT_TEXT = frozenset(
-    "head script style noscript template svg math canvas iframe object embed audio video map"
+    "head script style noscript template svg canvas iframe object embed audio video map"
     " button select option datalist textarea input form nav menu aside footer dialog search"
     " noembed noframes xmp title".split()
 )
@@ -38,6 +39,11 @@ NOT_TEXT_NAMES = frozenset(
     " popup modal overlay comment comments commentlist disqus respond replies widget widgets"
     " toc skip login".split()
 )
+#: Words that turn a class into one of what holds such a thing, or of something else.
+NAMES_OF_MORE = frozenset("has have with without no not non and enabled disabled content work works".split())
+HEADER_NAMES = frozenset({"header", "masthead"})
+HEADLINE_NAMES = frozenset({"article", "post", "entry", "story", "title"})
+COMMENT_NAMES = frozenset({"comment", "comments", "commentlist", "disqus", "respond", "reply", "replies"})
 CLOSED_BY = {
     "li": frozenset({"li"}),
     "dt": frozenset({"dt", "dd"}),
@@ -47,15 +53,17 @@ CLOSED_BY = {
     "th": frozenset({"td", "th"}),
     "option": frozenset({"option"}),
 }
+CLOSABLE = frozenset({"p"}).union(*CLOSED_BY.values())
 ARTICLES = frozenset({"article", "main"})
 FRAMES = ARTICLES | {"html", "body"}
 #: Words outside of links from which on a container holds prose: inside an article, and anywhere.
 PROSE, LONG_PROSE = 10, 50
 INLINE_SCOPES = frozenset("table ul ol dl select button object".split())
 
+# A tag ends before the next one begins, and nothing taken is given back, so a page is read once.
 _TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<![^>]*>|<\?[^>]*>"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--.*?(?:--!?>|\Z)|<![^<>]*+>|<\?[^<>]*+>"
+    r"|<(/?)([A-Za-z][^\s/<>]*+)([^<>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^<>\"']*+)*+)>",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
@@ -71,51 +79,93 @@ class Element:
         self.letters = self.words = 0
 
 
+class _Open:
+    """The elements that are open, with what is needed to close any of them without looking through all."""
+
+    def __init__(self, root: Element):
+        self.stack = [root]
+        self.counts: Counter[str] = Counter()
+        # Per open block, how many inline elements of a name are open in it.
+        self.inline: list[Counter[str]] = [Counter()]
+        # Per open element, where the paragraphs and items are that a new block may close.
+        self.closable: list[dict[str, int]] = [{}]
+
+    def push(self, element: Element) -> None:
+        name, depth = element.name, len(self.stack)
+        self.stack.append(element)
+        self.counts[name] += 1
+        before = self.closable[-1]
+        if name in INLINE_SCOPES or name in BLOCKS - TEXT_BLOCKS:
+            before = {}
+        self.closable.append({**before, name: depth} if name in CLOSABLE else before)
+        if name in BLOCKS:
+            self.inline.append(Counter())
+        else:
+            self.inline[-1][name] += 1
+
+    def pop_from(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            name = self.stack.pop().name
+            self.closable.pop()
+            self.counts[name] -= 1
+            if name in BLOCKS:
+                self.inline.pop()
+            else:
+                self.inline[-1][name] -= 1
+
+    def end(self, name: str) -> None:
+        """An end tag; an inline one does not reach beyond its block, and one without a start is ignored."""
+        if not (self.counts[name] if name in BLOCKS else self.inline[-1][name]):
+            return
+        depth = len(self.stack) - 1
+        while self.stack[depth].name != name:
+            depth -= 1
+        self.pop_from(depth)
+
+    def close_for(self, name: str) -> None:
+        """Ends the paragraph or list item that a new block cannot stand in."""
+        reach = self.closable[-1]
+        depth = max((reach.get(c, 0) for c in CLOSED_BY.get(name, frozenset()) | {"p"}), default=0)
+        if depth:
+            self.pop_from(depth)
+
+
 def parse(page: str) -> Element:
-    """A tree of any text: tags that never close end with their parent, stray ends are ignored."""
+    """A tree of any text: tags that never close end with their parent, stray ends are ignored.
+
+    Every tag takes a bounded number of steps, besides those that close elements.
+    """
     root = Element("#root")
-    stack = [root]
+    opened = _Open(root)
     at, end = 0, len(page)
     while at < end:
         token = _TOKEN.search(page, at)
         if token is None:
-            stack[-1].parts.append(page[at:])
+            opened.stack[-1].parts.append(page[at:])
             break
         if token.start() > at:
-            stack[-1].parts.append(page[at : token.start()])
+            opened.stack[-1].parts.append(page[at : token.start()])
         at = token.end()
         name = (token.group(2) or "").lower()
         if not name:
             continue
         if token.group(1):
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    del stack[depth:]
-                    break
-                if name not in BLOCKS and stack[depth].name in BLOCKS:
-                    break  # an inline end does not reach beyond its block
+            opened.end(name)
             continue
         if name in BLOCKS:
-            _close(stack, name)
+            opened.close_for(name)
         element = Element(name, token.group(3))
-        stack[-1].parts.append(element)
+        opened.stack[-1].parts.append(element)
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
+            at = _raw_end(page, name, at)
         elif name not in VOID and not token.group(3).endswith("/"):
-            stack.append(element)
+            opened.push(element)
     return root
 
 
-def _close(stack: list[Element], name: str) -> None:
-    """Ends the paragraph or list item that a new block cannot stand in."""
-    closing = CLOSED_BY.get(name, frozenset()) | {"p"}
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].name in closing:
-            del stack[depth:]
-            return
-        if stack[depth].name in INLINE_SCOPES or stack[depth].name in BLOCKS - TEXT_BLOCKS:
-            return
+def _raw_end(page: str, name: str, at: int) -> int:
+    close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^<>]*+>", re.I).search(page, at)
+    return close.end() if close else len(page)
 
 
 def _elements(root: Element) -> list[Element]:
@@ -169,13 +219,14 @@ def _stays(element: Element, in_article: bool) -> bool:
     return element.name in FRAMES or (in_article and element.name in TEXT_BLOCKS)
 
 
-def _names(element: Element) -> tuple[set[str], str, bool]:
-    names, role, hidden = set(), "", False
+def _names(element: Element) -> tuple[list[set[str]], str, bool]:
+    """The words of each class and id, the role, and whether the element is hidden."""
+    names, role, hidden = [], "", False
     for match in _ATTRIBUTE.finditer(element.attributes):
         key = match.group(1).lower()
         value = next((g for g in match.groups()[1:] if g is not None), "").lower()
         if key in ("class", "id"):
-            names.update(re.split(r"[^a-z]+", value))
+            names += [set(re.split(r"[^a-z]+", one)) for one in value.split()]
         elif key == "role":
             role = value.strip()
         elif key == "hidden" or (key == "aria-hidden" and value == "true"):
@@ -183,14 +234,35 @@ def _names(element: Element) -> tuple[set[str], str, bool]:
     return names, role, hidden
 
 
+def _is_named(words: set[str], in_article: bool) -> bool:
+    """Whether a class or id says that an element is no part of an article.
+
+    One that says that it has or goes with such a thing does not, nor does a header in an article
+    or of one.
+    """
+    if not NAMES_OF_MORE.isdisjoint(words):
+        return False
+    found = words & NOT_TEXT_NAMES
+    if in_article or not HEADLINE_NAMES.isdisjoint(words):
+        found -= HEADER_NAMES
+    return bool(found)
+
+
 def is_boilerplate(element: Element, in_article: bool) -> bool:
-    """Whether an element by its own name, role, class or id is no part of an article."""
+    """Whether an element by its own name, role, class or id is no part of an article.
+
+    An article that goes by the name of a comment is one.
+    """
     if element.name in NOT_TEXT or (element.name == "header" and not in_article):
         return True
-    if not element.attributes or element.name in FRAMES:
+    if not element.attributes:
         return False
     names, role, hidden = _names(element)
-    return hidden or role in NOT_TEXT_ROLES or not NOT_TEXT_NAMES.isdisjoint(names)
+    if element.name in FRAMES:
+        return element.name == "article" and any(
+            words & COMMENT_NAMES and NAMES_OF_MORE.isdisjoint(words) for words in names
+        )
+    return hidden or role in NOT_TEXT_ROLES or any(_is_named(words, in_article) for words in names)
 
 
 def _measure(root: Element) -> None:

@@ -17,6 +17,8 @@ from wattline.llm.hashing import WordHasher, words_of
 from wattline.session import work_folder
 
 SEED_WORDS = 5
+#: A chunk is a task of its own up to so many; the driver keeps an entry for every file of them.
+MOST_PARTS = 50_000
 NO_ID = np.iinfo("int64").max
 EMPTY = np.empty(0, dtype="<u8")
 
@@ -249,7 +251,7 @@ def remove_repeated_passages(
     size = docs.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("text")).alias("chars")).first()
     chars = size["chars"] or 0
     chunks = max(1, math.ceil(max(size["rows"] / chunk_docs, chars / (chunk_docs * 4_000))))
-    parts = max(1, min(chunks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    parts = min(chunks, MOST_PARTS)
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(int(NO_ID))).alias("order_id"),
         "text",

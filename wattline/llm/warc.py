@@ -58,13 +58,18 @@ def _file_system(uri: str):
     from pyarrow import fs
 
     scheme, colon, rest = uri.partition(":")
-    if not colon:
-        return fs.LocalFileSystem(), uri
     if scheme == "file":
         return fs.LocalFileSystem(), "/" + rest.lstrip("/")
     return fs.FileSystem.from_uri(("s3" if scheme == "s3a" else scheme) + colon + rest)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme: one without is on the file system that Spark takes for it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(at).toString()
+
+
 def write_warc(
     pages: DataFrame,
     path: str,
@@ -85,6 +90,7 @@ def write_warc(
     others and is written as ``null``. Repeated rows are records of their own; of equal payloads
     with equal ids one is the response. An empty table writes no record. Other columns play no part.
     """
+    path = qualified(pages.sparkSession, path)
     rows = pages.select(
         F.col("page_id").alias("_page"),
         F.coalesce("url", F.lit("")).alias("_url"),
