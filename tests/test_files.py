@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline import add_hour_metrics, clean_readings, export_readings, load_readings, read_export, read_quarantine, run
-from wattline.operators import first_rows, last_rows, non_missing, table_shape
+from wattline.operators import first_rows, inferred_profile, last_rows, non_missing, table_shape
 from wattline.schema import ENRICHED_SCHEMA, READ_ORDER, ContractError
+from wattline.sources import export as export_module
+from wattline.sources import first_of_files, last_of_files
 
 HEADER = "timestamp;grid_purchase;grid_feedin;direct_consumption;date"
 BASIC = [
@@ -274,3 +276,81 @@ def test_parquet_sink_and_modes(spark, basic, tmp_path):
         run(spark, basic, target, format="parquet", mode="errorifexists")
     with pytest.raises(ValueError):
         run(spark, basic, target, format="xml")
+
+
+def exported(spark, path):
+    return sorted(r.grid_purchase for r in read_export(spark, path).collect())
+
+
+def some_enriched(spark, values):
+    rows = [(f"2024-01-01 00:{i:02d}:00", str(v), "1", "1") for i, v in enumerate(values)]
+    raw = spark.createDataFrame(rows, "timestamp string, grid_purchase string, grid_feedin string, direct_consumption string")
+    return add_hour_metrics(clean_readings(raw, ["timestamp"]))
+
+
+def test_snapshots_leave_no_moment_without_a_result(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "out")
+    assert export_readings(some_enriched(spark, [1, 2]), target, snapshots=2)
+    reader = read_export(spark, target)
+    seen = []
+    publish = export_module.add_snapshot
+
+    def look(*arguments):
+        seen.append(exported(spark, target))
+        publish(*arguments)
+        seen.append(exported(spark, target))
+
+    monkeypatch.setattr(export_module, "add_snapshot", look)
+    assert export_readings(some_enriched(spark, [3]), target, snapshots=2)
+    assert seen == [[1, 2], [3]]
+    # A reader that began before still has its files.
+    assert sorted(r.grid_purchase for r in reader.collect()) == [1, 2]
+    assert export_readings(some_enriched(spark, [4]), target, snapshots=2)
+    assert len(list((tmp_path / "out").glob("snapshot-*"))) == 2 and exported(spark, target) == [4]
+
+
+def test_a_failed_or_empty_snapshot_changes_nothing(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "out")
+    export_readings(some_enriched(spark, [1]), target, snapshots=1)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(export_module, "add_snapshot", fail)
+        with pytest.raises(OSError, match="lost"):
+            export_readings(some_enriched(spark, [2]), target, snapshots=1)
+    assert not export_readings(some_enriched(spark, [3]).limit(0), target, snapshots=1)
+    assert exported(spark, target) == [1]
+    assert len(list((tmp_path / "out").glob("snapshot-*"))) == 1
+    plain = str(tmp_path / "plain")
+    export_readings(some_enriched(spark, [1]), plain)
+    with pytest.raises(FileExistsError, match="without snapshots"):
+        export_readings(some_enriched(spark, [2]), plain, snapshots=1)
+    with pytest.raises(ValueError, match="whole"):
+        export_readings(some_enriched(spark, [2]), target, snapshots=1, mode="append")
+
+
+def test_first_and_last_rows_open_few_files(spark, tmp_path):
+    for i in range(20):
+        write(tmp_path / f"{i:02d}.csv", [f"2023-10-01 00:00:{j:02d};{100 * i + j};1;1;x" for j in range(3)])
+    head, tail = first_of_files(spark, str(tmp_path), 7), last_of_files(spark, str(tmp_path), 7)
+    assert [r.grid_purchase for r in head.collect()] == ["0", "1", "2", "100", "101", "102", "200"]
+    assert [r.grid_purchase for r in tail.collect()] == ["1702", "1800", "1801", "1802", "1900", "1901", "1902"]
+    assert len(head.inputFiles()) == 4 and len(tail.inputFiles()) == 4
+    assert first_of_files(spark, str(tmp_path), 1000).count() == 60
+    (tmp_path / "none").mkdir()
+    assert last_of_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_inferred_types(spark):
+    columns = {
+        "whole": ["1", " -2 ", None], "mixed": ["1", "2.5", "1e3"], "truth": ["True", "false", None],
+        "day": ["2024-01-05", None, "2023-12-31"], "stamp": ["2024-01-05", "2024-01-05 10:00:00", None],
+        "text": ["1", "2024-01-05", "x"], "none": [None, None, None], "large": ["9223372036854775808", "1", "2"],
+        "no_day": ["2024-02-30", None, None],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} string" for c in columns))
+    got = {r.column_name: (r.data_type, r.row_count, r.non_null_count) for r in inferred_profile(df).collect()}
+    kinds = ["bigint", "double", "boolean", "date", "timestamp", "string", "void", "double", "string"]
+    assert got == {c: (k, 3, sum(v is not None for v in columns[c])) for c, k in zip(columns, kinds)}

@@ -6,6 +6,7 @@ from wattline.functions.parsing import (
     missing_to_null,
     number_or_null,
     reading,
+    text_types,
     wall_clock,
 )
 
@@ -16,5 +17,6 @@ __all__ = [
     "missing_to_null",
     "number_or_null",
     "reading",
+    "text_types",
     "wall_clock",
 ]

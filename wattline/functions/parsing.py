@@ -64,6 +64,19 @@ def wall_clock(value: Column, formats: Iterable[str] = ()) -> Column:
     return F.when(parsed.between(first, last), parsed)
 
 
+def text_types(value: Column) -> dict[str, Column]:
+    """For each type a text may stand for, whether it does; every type comes before those that contain it."""
+    day = value.rlike(r"^\d{4}-\d{2}-\d{2}$")
+    stamp = value.rlike(r"^\d{4}-\d{2}-\d{2}")
+    return {
+        "bigint": F.when(value.rlike(r"^\s*+[+-]?\d++\s*+$"), value.try_cast("bigint")).isNotNull(),
+        "double": value.rlike(DECIMAL_TEXT),
+        "boolean": value.isin("True", "False", "TRUE", "FALSE", "true", "false"),
+        "date": F.when(day, value.try_cast("date")).isNotNull(),
+        "timestamp": F.when(stamp, value.try_cast("timestamp_ntz")).isNotNull(),
+    }
+
+
 def _as_iso_text(text: Column, fmt: str) -> Column:
     pieces = re.split("(" + "|".join(_FORMAT_FIELDS) + ")", fmt)
     fields = [p for p in pieces if p in _FORMAT_FIELDS]

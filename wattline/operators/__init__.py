@@ -16,6 +16,7 @@ from wattline.operators.cleaning import (
 from wattline.operators.explore import (
     column_profile,
     first_rows,
+    inferred_profile,
     last_rows,
     non_missing,
     table_shape,
@@ -48,6 +49,7 @@ __all__ = [
     "flag_consumption",
     "hour_of_day_totals",
     "hourly_rollup",
+    "inferred_profile",
     "keep_first_per_timestamp",
     "last_rows",
     "maxima_by_day",

@@ -29,6 +29,7 @@ from wattline.operators import (
     flag_consumption,
     hour_of_day_totals,
     hourly_rollup,
+    inferred_profile,
     keep_first_per_timestamp,
     last_rows,
     non_missing,
@@ -55,6 +56,8 @@ from wattline.sources import (
     as_text,
     events_as_readings,
     export_readings,
+    first_of_files,
+    last_of_files,
     load_readings,
     read_events,
     read_export,
@@ -63,7 +66,7 @@ from wattline.sources import (
 )
 from wattline.sources.delimited import text_options
 from wattline.sources.files import remove
-from wattline.sources.tables import EVENT_ID, messy_readings, write_messy_files
+from wattline.sources.tables import EVENT_ID, messy_readings, write_messy_files, write_noted_files
 from wattline.streaming import (
     closed_daily_maxima,
     first_within_watermark,
@@ -220,6 +223,12 @@ def profile(spark, folder):
     return column_profile(missing_tokens(spark, folder))
 
 
+def inferred_types(spark, folder):
+    """The profile of a table of text with the types that its values have."""
+    raw = messy_readings(spark, folder)
+    return inferred_profile(raw.withColumns({c: missing_to_null(F.col(c)) for c in raw.columns if c != EVENT_ID}))
+
+
 def non_null_consumption(spark, folder):
     return non_missing(missing_tokens(spark, folder), CONSUMPTION)
 
@@ -276,6 +285,34 @@ def job_counts(spark, folder):
     return spark.createDataFrame([tuple(getattr(report, name) for name in names)], schema)
 
 
+def multiline_readings(spark, folder):
+    """Readings whose notes hold line breaks, from files that are read in splits."""
+    path = write_noted_files(spark, folder, work_folder(spark, "noted"))
+    loaded = load_readings(spark, path, multiline=True)
+    return loaded.select(F.col(EVENT_ID).cast("bigint"), *loaded.columns[1:-1])
+
+
+def file_head(spark, folder):
+    """The first rows of files, without opening more of them than hold these."""
+    rows = first_of_files(spark, _as_files(spark, folder))
+    return rows.select(F.col(EVENT_ID).cast("bigint"), *rows.columns[1:-1])
+
+
+def file_tail(spark, folder):
+    rows = last_of_files(spark, _as_files(spark, folder))
+    return rows.select(F.col(EVENT_ID).cast("bigint"), *rows.columns[1:-1])
+
+
+def snapshot_export(spark, folder):
+    """A result published as a snapshot in place of an earlier one, as a reader finds it."""
+    target = work_folder(spark, "export")
+    enriched = readings_with_metrics(spark, folder)
+    for rows in (enriched.where(F.col(EVENT_ID) % 2 == 0), enriched):
+        export_readings(rows, target, snapshots=2)
+    schema = T.StructType([ENRICHED_SCHEMA.fields[0], _ID, *ENRICHED_SCHEMA.fields[1:]])
+    return read_export(spark, target, schema=schema)
+
+
 def parquet_round_trip(spark, folder):
     target = work_folder(spark, "export")
     enriched = readings_with_metrics(spark, folder)
@@ -459,6 +496,7 @@ QUERIES: dict[str, Query] = {
     "messy_clean_readings": messy_clean_readings,
     "messy_metrics": messy_metrics,
     "column_profile": profile,
+    "inferred_profile": inferred_types,
     "non_null_consumption": non_null_consumption,
     "head_rows": head_rows,
     "tail_rows": tail_rows,
@@ -467,6 +505,10 @@ QUERIES: dict[str, Query] = {
     "csv_round_trip": csv_round_trip,
     "quarantined_lines": quarantined_lines,
     "job_counts": job_counts,
+    "multiline_readings": multiline_readings,
+    "file_head": file_head,
+    "file_tail": file_tail,
+    "snapshot_export": snapshot_export,
     "parquet_round_trip": parquet_round_trip,
     "export_text": export_text,
     "stream_clean_readings": stream_clean_readings,

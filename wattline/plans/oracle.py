@@ -268,6 +268,25 @@ ORACLES: dict[str, str] = {
                   FROM (SELECT moment, event_id % 50 = 9 OR direct_consumption IS DISTINCT FROM 'Dev test' AS kept
                         FROM messy WHERE event_id % 50 NOT IN (7, 13))""",
     ),
+    "inferred_profile": _with(
+        _RAW,
+        _MESSY,
+        _LOADED.replace("FROM raw", "FROM messy"),
+        select="SELECT 'event_id' AS column_name, 'bigint' AS data_type, count(*) AS row_count, "
+        "count(event_id) AS non_null_count FROM loaded\nUNION ALL\n"
+        + "\nUNION ALL\n".join(
+            f"""SELECT '{c}', CASE WHEN count("{c}") = 0 THEN 'void'
+                  WHEN bool_and(regexp_full_match("{c}", '\\s*[+-]?[0-9]+\\s*')) THEN 'bigint'
+                  WHEN bool_and(regexp_full_match("{c}", '\\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\\s*'))
+                  THEN 'double'
+                  WHEN bool_and(lower("{c}") IN ('true', 'false')) THEN 'boolean'
+                  WHEN bool_and(regexp_full_match("{c}", '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')
+                                AND TRY_CAST("{c}" AS DATE) IS NOT NULL) THEN 'date'
+                  WHEN bool_and(TRY_CAST("{c}" AS TIMESTAMP) IS NOT NULL) THEN 'timestamp'
+                  ELSE 'string' END, count(*), count("{c}") FROM loaded"""
+            for c in ("timestamp", "grid_purchase", "grid_feedin", "direct_consumption", "date")
+        ),
+    ),
     "non_null_consumption": _with(
         _RAW, _LOADED, select="SELECT * FROM loaded WHERE direct_consumption IS NOT NULL"
     ),
@@ -276,6 +295,18 @@ ORACLES: dict[str, str] = {
     "load_metrics": "SELECT count(*) AS row_count, CAST(6 AS BIGINT) AS column_count FROM events",
     "loaded_from_files": _with(_RAW, _LOADED, select="SELECT * FROM loaded"),
     "csv_round_trip": _ENRICHED_ROWS,
+    "multiline_readings": _with(
+        _RAW,
+        _LOADED,
+        select="""SELECT * EXCLUDE ("date"),
+                  CASE WHEN event_id % 7 = 0
+                       THEN concat('first;line', chr(10), 'second "quoted"', chr(10), chr(10), 'last of ', event_id)
+                       WHEN event_id % 11 <> 0 THEN concat('plain ', event_id) END AS note
+                  FROM loaded""",
+    ),
+    "file_head": _with(_RAW, _LOADED, select="SELECT * FROM loaded ORDER BY event_id LIMIT 10"),
+    "file_tail": _with(_RAW, _LOADED, select="SELECT * FROM loaded ORDER BY event_id DESC LIMIT 10"),
+    "snapshot_export": _ENRICHED_ROWS,
     "parquet_round_trip": _ENRICHED_ROWS,
     "export_text": _with(
         _RAW,

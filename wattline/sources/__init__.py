@@ -7,6 +7,7 @@ from wattline.sources.delimited import (
     read_quarantine,
     stream_readings,
 )
+from wattline.sources.ends import first_of_files, last_of_files
 from wattline.sources.export import as_text, export_readings, read_export
 from wattline.sources.tables import as_readings, events_as_readings, read_events
 
@@ -15,7 +16,9 @@ __all__ = [
     "as_text",
     "events_as_readings",
     "export_readings",
+    "first_of_files",
     "header_columns",
+    "last_of_files",
     "load_readings",
     "read_events",
     "read_export",

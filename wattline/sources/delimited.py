@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamReader
 
 from wattline.functions import missing_to_null
 from wattline.schema import RAW_SCHEMA, READ_ORDER, ContractError, quoted
+from wattline.sources.multiline import multiline_scan
 
 _LINE = "_malformed_line"
 _MALFORMED = "_malformed"
@@ -95,8 +96,8 @@ def load_readings(
     Rows with too few fields are padded with NULL and blank lines are skipped. Rows with too
     many fields, and malformed rows whose quoted field does not end on its line, are left out and
     can be read with ``read_quarantine``; ``strict=True`` fails the job on the first of them
-    instead. ``multiline=True`` reads quoted line breaks; such files cannot be split, so one task
-    reads each of them. An absent path raises, or gives an empty table of the contract's columns
+    instead. ``multiline=True`` reads quoted line breaks (see ``multiline``): files are still read in
+    splits, and one reading of the text comes before. An absent path raises, or gives an empty table of the contract's columns
     with ``missing="empty"``; so does a file without any line. With ``quarantine`` malformed lines
     stay, marked in the column ``QUARANTINED``. ``metrics`` receives ``row_count``
     and ``quarantined_count`` with the first action, which must be one over all rows. Naming the
@@ -108,14 +109,18 @@ def load_readings(
     try:
         header = columns or _header(spark, path, sep)
         columns = _distinct_names(header)
-        lines = _scan(spark.read, path, columns, sep, columns == header, multiline)
+        if multiline:
+            lines = multiline_scan(spark, path, columns, sep, text_options(sep), _LINE, READ_ORDER)
+            lines = lines.withColumn(_MALFORMED, _malformed(columns, sep))
+        else:
+            lines = _scan(spark.read, path, columns, sep, columns == header)
     except AnalysisException as error:
         if missing == "empty" and is_missing_path(error):
-            return spark.createDataFrame([], RAW_SCHEMA).withColumn(READ_ORDER, _no_order())
+            return empty_readings(spark)
         raise
     except ContractError:
         if missing == "empty":
-            return spark.createDataFrame([], RAW_SCHEMA).withColumn(READ_ORDER, _no_order())
+            return empty_readings(spark)
         raise
     if metrics is not None:
         lines = lines.observe(
@@ -126,6 +131,11 @@ def load_readings(
     return _accepted(lines, columns, strict, quarantine)
 
 
+def empty_readings(spark: SparkSession) -> DataFrame:
+    """No rows, with the columns of the contract."""
+    return spark.createDataFrame([], RAW_SCHEMA).withColumn(READ_ORDER, _no_order())
+
+
 def stream_readings(
     spark: SparkSession,
     path: str,
@@ -155,7 +165,7 @@ def read_quarantine(spark: SparkSession, path: str | list[str], sep: str = ";")
 
 
 def _scan(
-    reader, path, columns: list[str], sep: str, check_header: bool = True, multiline: bool = False
+    reader, path, columns: list[str], sep: str, check_header: bool = True
 ) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _LINE]])
     return (
@@ -166,7 +176,6 @@ def _scan(
             columnNameOfCorruptRecord=_LINE,
             # Every file's header must name the same columns in the same order.
             enforceSchema=not check_header,
-            multiLine=multiline,
             # With pruning, a line counts as malformed by the requested columns only.
             columnPruning=False,
         )

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _path(spark: SparkSession, path: str):
@@ -47,6 +48,43 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(at, True)
 
 
+SNAPSHOTS = "_snapshots"
+
+
+def add_snapshot(spark: SparkSession, path: str, name: str) -> None:
+    """Makes a finished folder ``name`` in ``path`` the current one, by the name of an empty file.
+
+    Names begin with a number that goes up; a file is there or not, so readers see the snapshot before
+    or this one, on an object store as well, and nothing is moved.
+    """
+    last = max((n.partition("-")[0] for n in names_in(spark, f"{path}/{SNAPSHOTS}")), default="0")
+    create_marker(spark, f"{path}/{SNAPSHOTS}/{int(last) + 1:012d}-{name}")
+
+
+def current_snapshot(spark: SparkSession, path: str) -> str | None:
+    """The folder that readers of ``path`` should read; None if it has no snapshots."""
+    names = sorted(names_in(spark, f"{path}/{SNAPSHOTS}"))
+    return f"{path}/{names[-1].partition('-')[2]}" if names else None
+
+
+def drop_snapshots(spark: SparkSession, path: str, keep: int) -> None:
+    """Removes all snapshots but the last ``keep``, which readers may still be reading."""
+    for name in sorted(names_in(spark, f"{path}/{SNAPSHOTS}"))[:-keep]:
+        remove(spark, f"{path}/{name.partition('-')[2]}")
+        remove(spark, f"{path}/{SNAPSHOTS}/{name}")
+
+
+def files_at(spark: SparkSession, source: str | list[str]) -> DataFrame:
+    """The files that a path, folder or pattern names: file (as rows have it), path, size, modified."""
+    found = spark.read.format("binaryFile").load(source)
+    return found.select(
+        F.col("_metadata.file_path").alias("file"),
+        "path",
+        F.col("length").alias("size"),
+        F.col("modificationTime").alias("modified"),
+    )
+
+
 def create_marker(spark: SparkSession, path: str) -> None:
     """An empty file, which also object stores show."""
     system, at = _path(spark, path)

@@ -98,11 +98,27 @@ def messy_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_messy_files(spark: SparkSession, folder: str, path: str, rows_per_file: int = 100_000) -> str:
     """The messy lines as files with a header each; gives the pattern that names them all."""
-    lines = messy_lines(spark, folder).withColumn(
-        "part", F.floor(F.col(EVENT_ID) / rows_per_file).cast("bigint")
-    )
-    header = F.lit(";".join(events_as_readings(spark, folder).columns))
-    heads = lines.select(F.lit(-1).cast("bigint").alias(EVENT_ID), header.alias("line"), "part")
+    header = ";".join(events_as_readings(spark, folder).columns)
+    return _write_lines(messy_lines(spark, folder), header, path, rows_per_file)
+
+
+NOTE = "note"
+
+
+def write_noted_files(spark: SparkSession, folder: str, path: str, rows_per_file: int = 100_000) -> str:
+    """The readings with a note, which for every seventh row is quoted and holds line breaks, quotes and delimiters."""
+    raw = events_as_readings(spark, folder).drop(REDUNDANT_DATE)
+    number = F.col(EVENT_ID).cast("string")
+    long = F.concat(F.lit('"first;line\nsecond ""quoted""\n\nlast of '), number, F.lit('"'))
+    note = F.when(F.col(EVENT_ID) % 7 == 0, long).when(F.col(EVENT_ID) % 11 == 0, '""')
+    raw = raw.withColumn(NOTE, note.otherwise(F.concat(F.lit("plain "), number)))
+    line = F.concat_ws(";", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw.columns])
+    return _write_lines(raw.select(EVENT_ID, line.alias("line")), ";".join(raw.columns), path, rows_per_file)
+
+
+def _write_lines(lines: DataFrame, header: str, path: str, rows_per_file: int) -> str:
+    lines = lines.withColumn("part", F.floor(F.col(EVENT_ID) / rows_per_file).cast("bigint"))
+    heads = lines.select(F.lit(-1).cast("bigint").alias(EVENT_ID), F.lit(header).alias("line"), "part")
     (
         lines.unionByName(heads.distinct())
         .repartition("part")

@@ -18,28 +18,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattline.schema import ContractError
 from wattline.session import sized_for
-from wattline.sources.delimited import is_missing_path, load_readings
-from wattline.sources.files import create_marker, names_in, remove
+from wattline.sources.delimited import empty_readings, is_missing_path, load_readings
+from wattline.sources.files import create_marker, files_at, names_in, remove
 from wattline.streaming.tier import FILE, LEDGER_SCHEMA, committed, latest_files, write_batch
 
 #: Hashes are cut to so many bits, and taken modulo a prime, so that sums of their products fit a BIGINT.
 _HASH_BITS, _PRIME = 24, 2**31 - 1
 
 
-def files_at(spark: SparkSession, source: str | list[str]) -> DataFrame:
-    """The files that a path, folder or pattern names: file (as rows have it), path, size, modified."""
+def present_files(spark: SparkSession, source: str | list[str]) -> DataFrame:
+    """The files of a source; none if there is no such path."""
     try:
-        found = spark.read.format("binaryFile").load(source)
+        return files_at(spark, source)
     except AnalysisException as error:
         if is_missing_path(error):
             return spark.createDataFrame([], f"{FILE} string, path string, size long, modified timestamp")
         raise
-    return found.select(
-        F.col("_metadata.file_path").alias(FILE),
-        "path",
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("modified"),
-    )
 
 
 def checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -87,7 +81,7 @@ def changes(spark: SparkSession, source: str | list[str], tier: str) -> DataFram
     known = entries.where("present").withColumnsRenamed(
         {c: f"old_{c}" for c in ("path", "size", "modified", "checksum")}
     )
-    both = files_at(spark, source).join(known, FILE, "full")
+    both = present_files(spark, source).join(known, FILE, "full")
     new = F.col("present").isNull()
     gone = F.col("path").isNull()
     differs = (F.col("size") != F.col("old_size")) | (F.col("modified") != F.col("old_modified"))
@@ -149,7 +143,7 @@ def refresh(
                 spark, [r["path"] for r in with_lines], sep, columns=columns, strict=strict, quarantine=True
             )
         else:
-            raw = load_readings(spark, f"{tier}/none", sep, missing="empty")
+            raw = empty_readings(spark)
         write_batch(raw, tier, number, formats=tuple(formats), ledger=ledger, replaced_days=replaced)
     remove(spark, f"{tier}/attempts/{number}")
     return True

@@ -171,21 +171,25 @@ def write_batch(
     rows = rows.withColumns({DAY: calendar_day(F.col(TIMESTAMP)), BATCH: F.lit(batch_id).cast("bigint")})
     schema = rows.schema
     # Rebalancing brings the rows of a day together, so a day gets few files, and splits a day that is large.
-    _replace(rows.observe(stored, F.count(F.lit(1)).alias("rows"), *_day_bits()).hint("rebalance", DAY), f"{tier}/clean")
+    # What is observed below a shuffle is lost if the shuffle turns out empty.
+    rows = rows.hint("rebalance", DAY).observe(stored, F.count(F.lit(1)).alias("rows"), *_day_bits())
+    _replace(rows, f"{tier}/clean")
     days = _days_of(stored)
     hidden = 0
     replaced = set(replaced_days)
     if days or replaced:
+        folder = work_folder(spark, "batch")
         mine = _read_parts(spark, f"{tier}/clean", days, [batch_id], schema)
-        if days:
-            _replace(_hour_parts(mine).withColumn(BATCH, F.lit(batch_id).cast("bigint")), f"{tier}/rollup")
-        met = _met_hours(spark, tier, batch_id, days, state)
-        met |= {day: set(range(24)) for day in replaced}
+        parts = _hour_parts(mine).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        parts = materialize(parts, "parts", folder)
+        met = _met_hours(spark, tier, parts, days, state) | {day: set(range(24)) for day in replaced}
         if met:
             old = None
             if ledger is not None:
                 old = ledger.select(FILE, F.col("content").alias("since"))
-            hidden = _settle(spark, tier, batch_id, schema, met, replaced, state, old)
+            hidden, parts = _settle(spark, tier, batch_id, schema, parts, met, replaced, state, old, folder)
+        _replace(parts, f"{tier}/rollup")
+        remove(spark, folder)
     if ledger is not None:
         _write_ledger(ledger, tier, batch_id, schema, days)
     counts = [
@@ -263,28 +267,28 @@ def _hour_parts(rows: DataFrame, shown: Column | None = None) -> DataFrame:
 
 
 def _met_hours(
-    spark: SparkSession, tier: str, batch_id: int, days: Sequence[dt.date], state: State
+    spark: SparkSession, tier: str, mine: DataFrame, days: Sequence[dt.date], state: State
 ) -> dict[dt.date, set[int]]:
     """The hours in which a timestamp of the batch may have more than one row, from the parts alone.
 
     A batch that brings as many new bits as rows meets nothing. The days of the calendar bound what
     the driver sees.
     """
-    parts = _read_days(spark, f"{tier}/rollup", days, PART_SCHEMA)
-    if parts is None:
-        return {}
-    mine = F.col(BATCH) == batch_id
-    earlier = state.includes(F.col(BATCH))
-
-    def bits(of: Column | None) -> Column:
-        kinds = [F.col(c) if of is None else F.when(of, F.col(c)) for c in (SEEN, SEEN_FRACTIONS)]
+    earlier = _read_days(spark, f"{tier}/rollup", days, PART_SCHEMA)
+    is_mine = F.col("mine")
+    both = mine.withColumn("mine", F.lit(True))
+    if earlier is not None:
+        earlier = earlier.where(state.includes(F.col(BATCH))).withColumn("mine", F.lit(False))
+        both = both.unionByName(earlier)
+
+    def bits(of: Column) -> Column:
+        kinds = [F.when(of, F.col(c)) for c in (SEEN, SEEN_FRACTIONS)]
         counts = [F.coalesce(F.bitmap_count(F.bitmap_or_agg(kind)), F.lit(0)) for kind in kinds]
         return counts[0] + counts[1]
 
     met = (
-        parts.where(mine | earlier)
-        .groupBy(DAY, HOUR)
-        .agg(F.sum(F.when(mine, F.col(SHOWN))).alias("rows"), (bits(None) - bits(earlier)).alias("new"))
+        both.groupBy(DAY, HOUR)
+        .agg(F.sum(F.when(is_mine, F.col(SHOWN))).alias("rows"), (bits(F.lit(True)) - bits(~is_mine)).alias("new"))
         .where(F.col("rows") > F.col("new"))
         .groupBy(DAY)
         .agg(F.collect_set(HOUR).alias("hours"))
@@ -300,24 +304,24 @@ def _settle(
     tier: str,
     batch_id: int,
     schema: T.StructType,
+    parts: DataFrame,
     met: dict[dt.date, set[int]],
     replaced: set[dt.date],
     state: State,
     old: DataFrame | None,
-) -> int:
-    """Notes which rows of these hours are hidden, and the hours' parts anew; gives how many of the batch are.
+    folder: str,
+) -> tuple[int, DataFrame]:
+    """Notes which rows of these hours are hidden; gives how many of the batch are, and its parts with these hours anew.
 
     Of earlier rows the timestamp, the place and the two measures are read, of these days alone.
     """
-    folder = work_folder(spark, "settle")
     hours = spark.createDataFrame(
         [(day, hour, day in replaced) for day, found in met.items() for hour in sorted(found)],
         f"{DAY} date, {HOUR} int, replaced boolean",
     )
     rows = _read_days(spark, f"{tier}/clean", met, schema)
-    parts = _read_days(spark, f"{tier}/rollup", met, PART_SCHEMA)
-    if rows is None or parts is None:
-        return 0
+    if rows is None:
+        return 0, parts
     rows = live_rows(rows, tier, state, or_batch=batch_id, old=old)
     rows = rows.select(TIMESTAMP, PLACE, *GRID_MEASURES, DAY, BATCH, hour_of_day(F.col(TIMESTAMP)).alias(HOUR))
     rows = rows.join(hours.drop("replaced"), [DAY, HOUR], "left_semi")
@@ -334,13 +338,14 @@ def _settle(
     notes = rows.where(F.col(HIDDEN) != F.col("was")).select(
         TIMESTAMP, PLACE, F.col(BATCH).alias("of_batch"), HIDDEN, DAY, F.lit(batch_id).cast("bigint").alias(BATCH)
     )
-    _replace(notes.hint("rebalance", DAY), f"{tier}/hidden")
+    mine = F.col(BATCH) == batch_id
+    noted = Observation()
+    late = F.count_if((F.col("of_batch") == batch_id) & F.col(HIDDEN)).alias("late")
+    _replace(notes.hint("rebalance", DAY).observe(noted, late), f"{tier}/hidden")
 
     # Hours in which nothing shows that did not before need no part; the others start anew.
-    mine = F.col(BATCH) == batch_id
     changed = rows.groupBy(DAY, HOUR).agg(
-        F.max((F.col(HIDDEN) != F.col("was")) & ~mine | mine & ~F.col(HIDDEN)).alias("changed"),
-        F.count_if(mine & F.col(HIDDEN)).alias("late"),
+        F.max((F.col(HIDDEN) != F.col("was")) & ~mine | mine & ~F.col(HIDDEN)).alias("changed")
     )
     anew = (
         hours.join(changed, [DAY, HOUR], "left")
@@ -349,15 +354,8 @@ def _settle(
         .join(_hour_parts(rows, ~F.col(HIDDEN)).drop(RESET), [DAY, HOUR], "left")
         .withColumns({SHOWN: F.coalesce(SHOWN, F.lit(0)), RESET: F.lit(True), BATCH: F.lit(batch_id).cast("bigint")})
     )
-    kept = parts.where(mine).join(hours, [DAY, HOUR], "left_anti")
-    both = kept.unionByName(anew.select(*kept.columns))
-    both = materialize(both, "parts", folder)
-    for day in met:
-        remove(spark, f"{tier}/rollup/{DAY}={day.isoformat()}/{BATCH}={batch_id}")
-    _replace(both, f"{tier}/rollup")
-    late = changed.agg(F.sum("late")).first()[0] or 0
-    remove(spark, folder)
-    return late
+    kept = parts.join(hours, [DAY, HOUR], "left_anti")
+    return noted.get["late"], kept.unionByName(anew.select(*kept.columns))
 
 
 def hidden_rows(
