@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattline.schema import READ_ORDER
-from wattline.sources import load_readings
+from wattline.sources import load_readings, multiline
 from wattline.sources.multiline import broken_records, text_lines
 
 HEADER = ["timestamp", "grid_purchase", "grid_feedin", "direct_consumption", "note"]
@@ -32,6 +32,7 @@ def split(spark, request):
 def write(path, rows, end="\n"):
     out = io.StringIO()
     csv.writer(out, delimiter=";", lineterminator=end).writerows([HEADER, *rows])
+    path.parent.mkdir(exist_ok=True)
     path.write_bytes(out.getvalue().encode())
 
 
@@ -109,3 +110,22 @@ def test_files_with_other_headers_are_refused(spark, tmp_path):
     (tmp_path / "b.csv").write_text("a;b\n1;2\n")
     with pytest.raises(ValueError, match="different headers"):
         load_readings(spark, str(tmp_path), multiline=True)
+
+
+def test_lines_that_change_the_state_are_dealt_by_split(spark, tmp_path, monkeypatch):
+    """However small their table is on disk, no task takes those of all files."""
+    for i in range(12):
+        write(tmp_path / f"in/{i}.csv", [("t", str(i), "1", "1", "two\nlines")] * 20)
+    written = {}
+
+    def keep(rows, purpose, folder):
+        written[purpose] = rows
+        return materialize(rows, purpose, folder)
+
+    materialize = multiline.materialize
+    monkeypatch.setattr(multiline, "materialize", keep)
+    broken_records(text_lines(spark, str(tmp_path / "in")), ";", str(tmp_path / "work"))
+    for purpose in ("ends", "members"):
+        places = written[purpose].groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert len(places) > 3
+        assert max(p["count"] for p in places) < sum(p["count"] for p in places) / 2

@@ -19,6 +19,8 @@ from wattline.schema import quoted
 from wattline.session import materialize, work_folder
 
 _AT = ("file", "block")
+#: The driver keeps an entry per pair of map task and shuffle partition.
+MOST_TASKS = 10_000
 
 
 def _opens(line: Column, sep: str) -> Column:
@@ -59,6 +61,11 @@ def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def _tasks_for(splits: DataFrame) -> int:
+    """As many tasks as splits, so that what one sorts is that of few splits, however many there are."""
+    return min(max(splits.count(), 1), MOST_TASKS)
+
+
 def broken_records(lines: DataFrame, sep: str, folder: str) -> tuple[DataFrame, DataFrame]:
     """The lines (id, record) of records of more than one line, and (file, block, first, last) of every split.
 
@@ -78,11 +85,13 @@ def broken_records(lines: DataFrame, sep: str, folder: str) -> tuple[DataFrame,
         "inside",
     )
     events = materialize(events, "events", folder)
+    # By splits, not by bytes: Spark would take a table this small on disk to one task, or broadcast it.
+    dealt = events.repartition(_tasks_for(splits), *_AT)
 
     # What each split makes of the state it finds: the same two columns, of its last line.
     upto = Window.partitionBy(*_AT).orderBy("id")
     so_far = F.sum("changes").over(upto)
-    each = events.withColumn("so_far", so_far)
+    each = dealt.withColumn("so_far", so_far)
     last = F.max_by(F.struct("tells", "so_far"), F.when(F.col("tells").isNotNull(), F.col("id")))
     of_split = each.groupBy(*_AT).agg(F.sum("changes").alias("all"), last.alias("last"))
     of_split = of_split.select(
@@ -91,9 +100,10 @@ def broken_records(lines: DataFrame, sep: str, folder: str) -> tuple[DataFrame,
         F.col("all").alias("changes"),
     )
     entry = F.coalesce(_state_before(["block"], ["file"], F.lit(False)), F.lit(False))
-    entries = of_split.select(*_AT, entry.alias("entry"))
+    # A row per split is what a join may send to all tasks; the lines stay where their split is.
+    entries = materialize(of_split.select(*_AT, entry.alias("entry")), "entries", folder)
 
-    found = events.join(entries, list(_AT)).withColumn("state", _state_before(["id"], list(_AT), F.col("entry")))
+    found = dealt.join(entries.hint("broadcast"), list(_AT)).withColumn("state", _state_before(["id"], list(_AT), F.col("entry")))
     opens = ~F.col("state") & F.col("out")
     closes = F.col("state") & ~F.col("inside")
     found = found.where(opens | closes).select(*_AT, "id", opens.alias("opens"))
@@ -101,6 +111,7 @@ def broken_records(lines: DataFrame, sep: str, folder: str) -> tuple[DataFrame,
 
     # Openings and closings alternate within a file. The end of an opening one is the next in its split,
     # or the first closing one of a later split.
+    found = found.repartition(_tasks_for(splits), *_AT)
     following = F.lead("id").over(Window.partitionBy(*_AT).orderBy("id"))
     first_close = found.groupBy(*_AT).agg(F.min(F.when(~F.col("opens"), F.struct("id", "block"))).alias("close"))
     later = Window.partitionBy("file").orderBy("block").rowsBetween(1, Window.unboundedFollowing)
