@@ -296,3 +296,19 @@ def test_streams_refuse_a_zone_with_clock_changes(spark):
             first_within_watermark(typed, "1 hour", ["event_id"])
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_day_of_the_rollup_is_one_file(spark, tmp_path):
+    """Also where some of its hours are added up anew, and after a compaction."""
+    tier = str(tmp_path / "tier")
+    days = [dt.date(2020, 1, 1) + dt.timedelta(i) for i in range(6)]
+    rows = [(h * 10 + i, f"{day} {h:02d}:00:00") for i, day in enumerate(days) for h in range(1, 20)]
+    write_batch(readings(spark, rows[::2]), tier, 0, ["event_id"])
+    write_batch(readings(spark, [(n - 5, t) for n, t in rows]), tier, 1, ["event_id"])
+    folders = list((tmp_path / "tier" / "rollup").glob("*/batch_id=1"))
+    assert [len(list(f.glob("*.parquet"))) for f in folders] == [1] * 6
+    before = rows_of(read_rollup(spark, tier))
+    compact(spark, tier, WITH_ID)
+    folders = list((tmp_path / "tier" / "rollup").glob("*/*"))
+    assert [len(list(f.glob("*.parquet"))) for f in folders] == [1] * 6
+    assert rows_of(read_rollup(spark, tier)) == before

@@ -188,7 +188,8 @@ def write_batch(
             if ledger is not None:
                 old = ledger.select(FILE, F.col("content").alias("since"))
             hidden, parts = _settle(spark, tier, batch_id, schema, parts, met, replaced, state, old, folder)
-        _replace(parts, f"{tier}/rollup")
+        # Without this every task has hours of every day, and writes a file for each.
+        _replace(parts.hint("rebalance", DAY), f"{tier}/rollup")
         remove(spark, folder)
     if ledger is not None:
         _write_ledger(ledger, tier, batch_id, schema, days)
@@ -519,7 +520,7 @@ def compact(spark: SparkSession, tier: str, schema: T.StructType = CLEAN_SCHEMA)
         _replace(notes.hint("rebalance", DAY), f"{tier}/hidden")
         rows = rows.drop(HIDDEN)
     _replace(rows.withColumn(BATCH, number).hint("rebalance", DAY), f"{tier}/clean")
-    _replace(_merged_parts(spark, tier, state).withColumn(BATCH, number), f"{tier}/rollup")
+    _replace(_merged_parts(spark, tier, state).withColumn(BATCH, number).hint("rebalance", DAY), f"{tier}/rollup")
     files = latest_files(spark, tier, state)
     if files is not None:
         present = files.where("present").withColumns({"content": number, BATCH: number})
